@@ -143,8 +143,8 @@ def _(spark, folder):
                 <= picks - sum((n * picks) // total) over () then 1 else 0 end)::BIGINT as quota from s, t""",
 )
 def _(spark, folder):
-    sizes = table(spark, folder, "orders").groupBy("o_orderpriority").agg(
+    counts = table(spark, folder, "orders").groupBy("o_orderpriority").agg(
         F.count(F.lit(1)).alias("count")
     )
-    rows = sizes.agg(F.sum("count")).first()[0]
-    return splitting.share_out(sizes, "o_orderpriority", 1000, rows)
+    sizes = splitting.class_sizes(counts)
+    return splitting.share_out(sizes.table, "o_orderpriority", 1000, sizes.rows, sizes.classes)

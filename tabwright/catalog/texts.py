@@ -196,7 +196,8 @@ def _(spark, folder):
 
 # --- tokens -----------------------------------------------------------------------------
 
-_WORDS = f"regexp_extract_all(text, '[^{WORD_SPACE}]+')"
+_SPACE = "".join(f"\\x{{{code:x}}}" for code in WORD_SPACE)
+_WORDS = f"regexp_extract_all(text, '[^{_SPACE}]+')"
 
 
 @query(

@@ -148,10 +148,11 @@ TOKEN_BANDS = [
     ("500+", None),
 ]
 
-# Characters that separate words (what Python's str.split() splits on).
-WORD_SPACE = (
-    r"\t\n\x0b\f\r\x1c-\x1f \x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-)
+# Code points that separate words (what Python's str.split() splits on).
+WORD_SPACE = [
+    *range(0x09, 0x0E), *range(0x1C, 0x20), 0x20, 0x85, 0xA0, 0x1680,
+    *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+]
 
 # Fixed value: how far a float column may move when it is stored in single precision.
 FLOAT_TOLERANCE = 5e-4

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.functions.columns import FLOATS, TIMES
+from tabwright.functions.columns import FLOATS, NUMBERS, TIMES
 
 
 def _as_text(value: Column, dtype: T.DataType) -> Column:
@@ -16,31 +16,40 @@ def _as_text(value: Column, dtype: T.DataType) -> Column:
     return value.cast("string")
 
 
+def _eight_digits(value: Column) -> Column:
+    """The size of a number if its whole part has eight digits, else NULL."""
+    size = F.abs(value)
+    return F.when(
+        (size >= F.lit(10_000_000)) & (size < F.lit(100_000_000)), size.try_cast("int")
+    )
+
+
 def first_digits(value: Column, dtype: T.DataType) -> Column:
     """The first run of digits in the printed value, or NULL."""
-    run = F.regexp_extract(_as_text(value, dtype), r"(\d+)", 1)
-    return F.when(run != "", run)
+    return F.nullif(F.regexp_extract(_as_text(value, dtype), r"(\d+)", 1), F.lit(""))
 
 
 def yyyymmdd(value: Column, dtype: T.DataType) -> Column:
     """YYYYMMDD as an integer when the first digit run has exactly eight digits."""
-    run = first_digits(value, dtype)
-    return F.when(F.length(run) == 8, run).try_cast("int")
+    if isinstance(dtype, NUMBERS):
+        return _eight_digits(value)
+    text = value.cast("string")
+    return F.regexp_extract(text, r"^\D*(\d{8})(?:\D|$)", 1).try_cast("int")
 
 
 def calendar_date(value: Column, dtype: T.DataType) -> Column:
     """A date out of YYYYMMDD (number or text), ISO text, date or timestamp; else NULL."""
     if isinstance(dtype, TIMES):
         return value.cast("date")
-    text = _as_text(value, dtype)
+    number = isinstance(dtype, NUMBERS)
+    text = (_eight_digits(value) if number else value).cast("string")
     dashed = F.concat_ws(
         "-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2)
     )
-    return (
-        F.when(text.rlike(r"^\d{8}$"), dashed)
-        .when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), text)
-        .try_cast("date")
-    )
+    spelled = F.when(F.length(text) == 8, dashed)
+    if not number:
+        spelled = F.when(text.contains("-"), text).otherwise(spelled)
+    return spelled.try_cast("date")
 
 
 def is_weekend(day: Column) -> Column:

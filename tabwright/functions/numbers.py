@@ -23,12 +23,10 @@ def half_even(value: Column, digits: int = 0) -> Column:
 def to_double(value: Column, dtype: T.DataType) -> Column:
     """The value as a double; what is no number, and NaN, becomes NULL."""
     if isinstance(dtype, T.StringType):
-        read = F.when(value.rlike(_NUMBER), F.trim(value).try_cast("double"))
-    elif isinstance(dtype, FLOATS):
-        read = value.cast("double")
-    else:
-        return value.try_cast("double")
-    return F.when(~F.isnan(read), read)
+        return F.when(value.rlike(_NUMBER), F.trim(value).try_cast("double"))
+    if isinstance(dtype, FLOATS):
+        return F.nullif(value.cast("double"), F.lit(float("nan")))
+    return value.try_cast("double")
 
 
 def whole_text(value: Column, dtype: T.DataType, fraction: str = "raise") -> Column:
@@ -38,15 +36,17 @@ def whole_text(value: Column, dtype: T.DataType, fraction: str = "raise") -> Col
     value is met, ``keep`` prints it.
     """
     if isinstance(dtype, FLOATS):
-        whole = value.cast("double") == F.floor(value.cast("double")).cast("double")
         if fraction == "keep":
             other = number_text(value, dtype)
         else:
             other = F.raise_error(
                 F.concat(F.lit("code with a fraction: "), value.cast("string"))
             ).cast("string")
-        clean = value.isNotNull() & ~F.isnan(value)
-        return F.when(clean & whole, value.cast("bigint").cast("string")).when(clean, other)
+        return (
+            F.when(value.isNull() | F.isnan(value), F.lit(None).cast("string"))
+            .when(F.rint(value) == value, value.cast("bigint").cast("string"))
+            .otherwise(other)
+        )
     if isinstance(dtype, T.BooleanType):
         return F.initcap(value.cast("string"))
     return value.cast("string")
@@ -59,9 +59,7 @@ def number_text(value: Column, dtype: T.DataType) -> Column:
     digits = F.regexp_replace(
         value.cast("string").try_cast("decimal(38,18)").cast("string"), r"\.?0+$", ""
     )
-    whole = (value.cast("double") == F.floor(value.cast("double")).cast("double")) & (
-        F.abs(value) < F.lit(9.2e18)
-    )
+    whole = (F.rint(value) == value) & (F.abs(value) < F.lit(9.2e18))
     return (
         F.when(value.isNull() | F.isnan(value), F.lit(None).cast("string"))
         .when(whole, value.try_cast("bigint").cast("string"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tabwright.fixed_values import MISSING_TEXT, MISSING_TOKEN, WORD_SPACE
 from tabwright.functions.numbers import half_even
 
-_WORD = f"[^{WORD_SPACE}]+"
+_SPACES = "".join(chr(code) for code in WORD_SPACE)
 
 
 def fill_missing(
@@ -23,20 +23,20 @@ def fill_missing(
 
 
 def amount_scientific(value: Column) -> Column:
-    """``sign=1| mant=1.2346| exponent=7`` for a double; NULL stays NULL."""
-    size = F.abs(value)
-    exponent = F.when(value == 0, F.lit(0.0)).otherwise(F.floor(F.log10(size)).cast("double"))
-    mantissa = F.when(value == 0, F.lit(0.0)).otherwise(
-        half_even(size / F.pow(F.lit(10.0), exponent), 4)
-    )
-    return F.when(
-        value.isNotNull(),
-        F.format_string(
-            "sign=%d| mant=%.4f| exponent=%d",
-            F.signum(value).cast("int"),
-            mantissa,
-            exponent.cast("int"),
-        ),
+    """``sign=1| mant=1.2346| exponent=7`` for a double; NULL stays NULL.
+
+    Put together from casts: ``format_string`` is several times slower.
+    """
+    size = F.nullif(F.abs(value), F.lit(0.0))
+    exponent = F.floor(F.log10(size))
+    mantissa = half_even(size / F.pow(F.lit(10.0), exponent.cast("double")), 4)
+    return F.concat(
+        F.lit("sign="),
+        F.signum(value).cast("int").cast("string"),
+        F.lit("| mant="),
+        F.coalesce(mantissa, F.lit(0.0)).try_cast("decimal(6,4)").cast("string"),
+        F.lit("| exponent="),
+        F.coalesce(exponent, F.lit(0)).cast("string"),
     )
 
 
@@ -57,9 +57,14 @@ def join_fields(
 
 
 def words(text: Column) -> Column:
-    """The words of the text; an empty or blank text has none."""
-    return F.regexp_extract_all(text, F.lit(_WORD), F.lit(0))
+    """The words of the text; an empty or blank text has none.
+
+    Every separator becomes a space and the text is split at single spaces, which needs
+    no regular expression.
+    """
+    plain = F.translate(text, _SPACES, " " * len(_SPACES))
+    return F.array_remove(F.split(plain, " "), F.lit(""))
 
 
 def word_count(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(_WORD))
+    return F.size(words(text))

@@ -54,7 +54,7 @@ def label_slots(
     real = found.count()
     if real > max_classes:
         raise ValueError(f"{real} labels do not fit into {max_classes} slots; raise max_classes")
-    numbered = number_rows(found, order).select("label", "id", F.lit(False).alias("is_dummy"))
+    numbered = number_rows(found, order, rows=real).select("label", "id", F.lit(False).alias("is_dummy"))
     return numbered.unionByName(_dummies(df, real, max_classes, "dummy_%d", real + 1))
 
 
@@ -69,9 +69,10 @@ def label_mapping_create(
     """Labels in label order, then ``DUMMY_000, DUMMY_001, ...`` up to ``total``."""
     require(df, label)
     found = settle(distinct_labels(df, label))
-    numbered = number_rows(found, [F.col("label")])
+    count = found.count()
+    numbered = number_rows(found, [F.col("label")], rows=count)
     return numbered.select("label", "id", F.lit(False).alias("is_dummy")).unionByName(
-        _dummies(df, found.count(), total, prefix + "%03d", 0)
+        _dummies(df, count, total, prefix + "%03d", 0)
     )
 
 
@@ -105,7 +106,8 @@ def label_mapping_update(
     count = real.count()
     if overflow == "error" and count > total:
         raise ValueError(f"{count} labels do not fit into {total} classes")
-    numbered = number_rows(real, [F.col("old").asc_nulls_last(), F.col("label")])
+    order = [F.col("old").asc_nulls_last(), F.col("label")]
+    numbered = number_rows(real, order, rows=count)
     return numbered.select("label", "id", F.lit(False).alias("is_dummy"), "is_new").unionByName(
         _dummies(df, count, total, prefix + "%03d", 0).withColumn("is_new", F.lit(False))
     )

@@ -17,19 +17,26 @@ TASK_ROWS = 1_000_000
 
 
 def number_rows(
-    df: DataFrame, order_by: Sequence[Column], name: str = "id", task_rows: int = TASK_ROWS
+    df: DataFrame,
+    order_by: Sequence[Column],
+    name: str = "id",
+    rows: int | None = None,
+    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Number the rows 0, 1, 2, ... in the given order (which must have no ties).
 
     Meant for derived tables such as the distinct labels. Up to ``task_rows`` rows one
     task numbers them; above that the rows are range-partitioned, each range is numbered
-    for itself and shifted by the rows of the ranges before it.
+    for itself and shifted by the rows of the ranges before it. Pass ``rows`` when the
+    table is written already and its size is known.
     """
-    rows = settle(df)
-    if rows.count() <= task_rows:
+    if rows is None:
+        df = settle(df)
+        rows = df.count()
+    if rows <= task_rows:
         place = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(*order_by))
-        return rows.withColumn(name, (place - 1).cast("int"))
-    ranged = settle(rows.repartitionByRange(*order_by).withColumn("__r", F.spark_partition_id()))
+        return df.withColumn(name, (place - 1).cast("int"))
+    ranged = settle(df.repartitionByRange(*order_by).withColumn("__r", F.spark_partition_id()))
     sizes = ranged.groupBy("__r").agg(F.count(F.lit(1)).alias("__n"))
     before = F.sum("__n").over(W.partitionBy(F.lit(0)).orderBy("__r")) - F.col("__n")
     shift = settle(sizes.select("__r", before.alias("__before")))

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tabwright.functions.columns import c, require
@@ -13,39 +16,58 @@ from tabwright.operators.sampling import Key
 from tabwright.sources.shared import settle
 
 
-def _sizes(df: DataFrame, label: str) -> DataFrame:
-    """Rows per label; rows without a label are a class of their own, so none is lost."""
-    return settle(df.groupBy(c(label)).agg(F.count(F.lit(1)).alias("count")))
-
-
-def share_out(sizes: DataFrame, label: str, total: int, rows: int) -> DataFrame:
+def share_out(sizes: DataFrame, label: str, total: int, rows: int, classes: int) -> DataFrame:
     """Share ``total`` picks among the labels by size, adding up to exactly ``total``.
 
     Each label gets the whole part of its share; the picks that are left go to the
-    largest remainders, the smaller label first among equals. ``rows`` is the sum of
-    the sizes.
+    largest remainders, the smaller label first among equals. ``sizes`` has one row per
+    label; ``rows`` is the sum of the sizes and ``classes`` their number.
     """
     exact = f"cast(`count` as decimal(19,0)) * cast({total} as decimal(19,0))"
-    shares = settle(
-        sizes.select(
-            c(label),
-            "count",
-            F.expr(f"{exact} div {max(rows, 1)}L").alias("quota"),
-            F.expr(f"cast(({exact}) % {max(rows, 1)}L as bigint)").alias("rest"),
-        )
+    shares = sizes.select(
+        c(label),
+        "count",
+        F.expr(f"{exact} div {max(rows, 1)}L").alias("quota"),
+        F.expr(f"cast(({exact}) % {max(rows, 1)}L as bigint)").alias("rest"),
     )
-    left = total - (shares.agg(F.sum("quota")).first()[0] or 0)
-    ranked = number_rows(shares, [F.desc("rest"), c(label).asc_nulls_last()], "place")
-    extra = (F.col("place") < left).cast("bigint")
-    return settle(ranked.select(c(label), "count", (F.col("quota") + extra).alias("quota")))
+    order = [F.desc("rest"), c(label).asc_nulls_last()]
+    if classes <= TASK_ROWS:
+        # One row per label and few of them: a single task ranks the remainders.
+        everything = W.partitionBy(F.lit(0))
+        place = F.row_number().over(everything.orderBy(*order)) - 1
+        left = F.lit(total) - F.sum("quota").over(everything)
+        ranked = shares.withColumn("place", place).withColumn("left", left)
+    else:
+        shares = settle(shares)
+        left = F.lit(total - (shares.agg(F.sum("quota")).first()[0] or 0))
+        ranked = number_rows(shares, order, "place", rows=classes).withColumn("left", left)
+    extra = (F.col("place") < F.col("left")).cast("bigint")
+    return ranked.select(c(label), "count", (F.col("quota") + extra).alias("quota"))
+
+
+@dataclass(frozen=True)
+class ClassSizes:
+    """Rows per label as a written table, with its totals."""
 
+    table: DataFrame
+    rows: int
+    classes: int
+    smallest: int
 
-def _facts(sizes: DataFrame) -> tuple[int, int, int]:
-    """Rows, classes, and rows of the smallest class."""
-    row = sizes.agg(
-        F.coalesce(F.sum("count"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.min("count"), F.lit(0))
+
+def class_sizes(counts: DataFrame) -> ClassSizes:
+    table = settle(counts)
+    row = table.agg(
+        F.coalesce(F.sum("count"), F.lit(0)),
+        F.count(F.lit(1)),
+        F.coalesce(F.min("count"), F.lit(0)),
     ).first()
-    return row[0], row[1], row[2]
+    return ClassSizes(table, row[0], row[1], row[2])
+
+
+def _rows_per_label(df: DataFrame, label: str) -> ClassSizes:
+    """Rows without a label are a class of their own, so that none is lost."""
+    return class_sizes(df.groupBy(c(label)).agg(F.count(F.lit(1)).alias("count")))
 
 
 def _quotas(df: DataFrame, shares: DataFrame | None, label: str, cut: str, total: int) -> DataFrame:
@@ -61,52 +83,48 @@ def _two_cuts(
     label: str,
     seed: int,
     key: Key,
+    sizes: ClassSizes,
     outer: int,
     inner: int,
     stratify_outer: bool,
-    stratify_inner,
+    stratify_inner: Callable[[ClassSizes], bool],
     names: tuple[str, str, str],
     task_rows: int,
 ) -> DataFrame:
     """Take ``outer`` rows of the table and ``inner`` of those, both in hash order.
 
     ``names`` are the splits for: outside, in the outer part only, in the inner part.
-    ``stratify_inner(sizes)`` decides on the class sizes of the outer part.
+    ``stratify_inner`` decides on the class sizes of the outer part.
     """
-    sizes = _sizes(df, label)
-    rows, _, _ = _facts(sizes)
     outside, middle, inside = names
-    shares = share_out(sizes, label, outer, rows) if stratify_outer else None
-    strata = [label] if stratify_outer else []
-
-    held_sizes = None
-    if shares is not None:
-        held_sizes = settle(
+    marks = {"outer": "__outer", "inner": "__inner"}
+    strata, shares, inner_shares = [], None, None
+    if stratify_outer:
+        strata = [label]
+        shares = settle(share_out(sizes.table, label, outer, sizes.rows, sizes.classes))
+        held = class_sizes(
             shares.where("quota > 0").select(c(label), F.col("quota").alias("count"))
         )
-        inner_by_label = stratify_inner(held_sizes)
-    if shares is not None and inner_by_label:
-        # Same groups and same order twice: both cuts come out of the same passes.
-        inner_shares = share_out(held_sizes, label, inner, outer)
-        quotas = _quotas(df, shares, label, "outer", outer).unionByName(
-            _quotas(df, inner_shares, label, "inner", inner)
-        )
-        ends = hash_cuts(df, quotas, strata, key, seed, ["outer", "inner"], task_rows)
-        marked = mark_cuts(df, ends, strata, key, seed, {"outer": "__outer", "inner": "__inner"})
+        if stratify_inner(held):
+            inner_shares = share_out(held.table, label, inner, outer, held.classes)
+    quotas = _quotas(df, shares, label, "outer", outer)
+    if inner_shares is not None or (not stratify_outer and not stratify_inner(sizes)):
+        # The same groups in the same order twice: one set of passes finds both cuts.
+        quotas = quotas.unionByName(_quotas(df, inner_shares, label, "inner", inner))
+        ends = hash_cuts(df, quotas, strata, key, seed, list(marks), task_rows)
+        marked = mark_cuts(df, ends, strata, key, seed, marks)
     else:
-        quotas = _quotas(df, shares, label, "outer", outer)
         ends = hash_cuts(df, quotas, strata, key, seed, ["outer"], task_rows)
         marked = mark_cuts(df, ends, strata, key, seed, {"outer": "__outer"})
-        held = marked.where("__outer").drop("__outer")
+        rest = marked.where("__outer").drop("__outer")
         inner_strata: list[str] = []
-        inner_shares = None
-        if shares is None:
-            held_sizes = _sizes(held, label)
-            if stratify_inner(held_sizes):
+        if not stratify_outer:
+            held = _rows_per_label(rest, label)
+            if stratify_inner(held):
                 inner_strata = [label]
-                inner_shares = share_out(held_sizes, label, inner, outer)
+                inner_shares = share_out(held.table, label, inner, outer, held.classes)
         quotas = _quotas(df, inner_shares, label, "inner", inner)
-        ends = hash_cuts(held, quotas, inner_strata, key, seed, ["inner"], task_rows)
+        ends = hash_cuts(rest, quotas, inner_strata, key, seed, ["inner"], task_rows)
         marked = mark_cuts(
             marked, ends, inner_strata, key or df.columns, seed, {"inner": "__inner"}
         )
@@ -142,20 +160,18 @@ def split_two_step(
         raise ValueError("val_size must be between 0 and 1")
     if val_size >= test_size:
         raise ValueError("val_size must be smaller than test_size")
-    rows, classes, smallest = _facts(_sizes(df, label))
-    outer = math.ceil(test_size * rows)
+    sizes = _rows_per_label(df, label)
+    outer = math.ceil(test_size * sizes.rows)
     inner = math.ceil(val_size / test_size * outer)
 
-    def fits(all_rows: int, classes: int, smallest: int, part: int) -> bool:
-        return stratify and smallest >= 2 and min(part, all_rows - part) >= classes
+    def fits(part: int, of: ClassSizes) -> bool:
+        return stratify and of.smallest >= 2 and min(part, of.rows - part) >= of.classes
 
-    def fits_inner(sizes: DataFrame) -> bool:
-        held_rows, held_classes, held_smallest = _facts(sizes)
-        return fits(held_rows, held_classes, held_smallest, inner) and held_classes == classes
+    def fits_inner(held: ClassSizes) -> bool:
+        return fits(inner, held) and held.classes == sizes.classes
 
     return _two_cuts(
-        df, label, seed, key, outer, inner,
-        fits(rows, classes, smallest, outer), fits_inner,
+        df, label, seed, key, sizes, outer, inner, fits(outer, sizes), fits_inner,
         ("train", "valid", "test"), task_rows,
     )
 
@@ -179,16 +195,15 @@ def split_ratios(
     require(df, label)
     if not 0 < test_ratio < 1 or not 0 < val_ratio or not 0 < train_ratio:
         raise ValueError("ratios must be positive and test_ratio below 1")
-    rows, _, smallest = _facts(_sizes(df, label))
-    test = math.ceil(test_ratio * rows)
-    val = math.ceil(val_ratio / (train_ratio + val_ratio) * (rows - test))
+    sizes = _rows_per_label(df, label)
+    test = math.ceil(test_ratio * sizes.rows)
+    val = math.ceil(val_ratio / (train_ratio + val_ratio) * (sizes.rows - test))
 
-    def enough(sizes: DataFrame) -> bool:
-        return _facts(sizes)[2] >= min_samples_per_class
+    def enough(of: ClassSizes) -> bool:
+        return of.smallest >= min_samples_per_class
 
     # The first cut takes everything but the test rows, the second the val rows of those.
     return _two_cuts(
-        df, label, seed, key, rows - test, val,
-        smallest >= min_samples_per_class, enough,
+        df, label, seed, key, sizes, sizes.rows - test, val, enough(sizes), enough,
         ("test", "train", "val"), task_rows,
     )

@@ -33,17 +33,17 @@ def tokenize_text(
     tokens and the result has ``tokens``. Both have ``attention_mask``, ``length`` (after
     truncation to ``max_length`` and padding) and ``raw_length`` (before).
 
-    The text is tokenised once; truncation is a slice of that.
+    The text is tokenised once; truncation is a slice of that. A NULL text is an empty
+    one.
     """
     require(df, text)
     if make_encoder is None:
-        # Projecting the word list under a name of its own keeps it from being split
-        # once per output column.
-        split = df.select(*[c(n) for n in df.columns], words(c(text)).alias("__all"))
+        filled = words(F.coalesce(c(text), F.lit("")))
+        split = df.select(*[c(n) for n in df.columns if n != text], filled.alias("__all"))
         whole = F.size("__all")
         tokens = F.slice("__all", 1, max_length) if max_length else F.col("__all")
         length = F.least(whole, F.lit(max_length)) if max_length else whole
-        return split.where(F.col("__all").isNotNull()).select(
+        return split.select(
             *[c(n) for n in df.columns if n != text],
             tokens.alias("tokens"),
             F.array_repeat(F.lit(1), length).alias("attention_mask"),
