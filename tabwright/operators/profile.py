@@ -54,16 +54,31 @@ def _comparable(df: DataFrame, name: str) -> Column:
     return c(name).cast("string")
 
 
-def distinct_counts(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
-    """Exact distinct non-NULL values per column, as ``(column, distinct_count)``.
+def distinct_counts(
+    df: DataFrame, columns: Iterable[str] | None = None, exact: bool = True
+) -> DataFrame:
+    """Distinct non-NULL values per column, as ``(column, distinct_count)``.
 
     Several ``count(distinct)`` in one aggregate would repeat every row per column all
     the way through the shuffle; here values meet as ``(column, value)`` pairs, which
-    each task reduces to its distinct ones first.
+    each task reduces to its distinct ones first. Columns in which nearly every value is
+    different still send all of them through the shuffle; ``exact=False`` estimates
+    instead, in one pass with a sketch of fixed size per column.
     """
     names = df.columns if columns is None else present(df, columns)
     if not names:
         return df.sparkSession.createDataFrame([], "column string, distinct_count bigint")
+    if not exact:
+        totals = df.agg(
+            *[F.approx_count_distinct(_comparable(df, n)).alias(f"d{i}") for i, n in enumerate(names)]
+        )
+        return _per_column(
+            totals,
+            [
+                F.struct(F.lit(n).alias("column"), F.col(f"d{i}").alias("distinct_count"))
+                for i, n in enumerate(names)
+            ],
+        )
     pairs = df.select(
         F.inline(
             F.array(
@@ -139,7 +154,9 @@ def table_metadata(
     return report
 
 
-def column_statistics(df: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
+def column_statistics(
+    df: DataFrame, exact_distinct: bool = True, task_rows: int = TASK_ROWS
+) -> DataFrame:
     """One row per column: type, counts, distinct values and, for numbers, the spread.
 
     Numbers add mean, sample standard deviation, min, max, median and quartiles.
@@ -176,7 +193,11 @@ def column_statistics(df: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
         )
     report = _per_column(df.agg(*spots), entries)
     report = report.join(
-        distinct_counts(df).withColumnRenamed("distinct_count", "unique_count"), "column", "left"
+        distinct_counts(df, exact=exact_distinct).withColumnRenamed(
+            "distinct_count", "unique_count"
+        ),
+        "column",
+        "left",
     )
     if numeric:
         values = df.select(

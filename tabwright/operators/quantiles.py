@@ -73,9 +73,9 @@ def _bracketed(
             "__x", F.array(*[F.lit(min(1.0, max(0.0, e))) for e in ends]), F.lit(accuracy)
         ).alias("__e"),
     )
-    # A small group is enclosed whole; that also covers groups in which the margin is
-    # less than one row.
-    whole = F.col("n") <= F.lit(max(1, task_rows // 10))
+    # A group with no more rows than the accuracy is enclosed whole: in a larger one the
+    # margin, less the sketch error, is two rows or more.
+    whole = F.col("n") <= F.lit(max(accuracy, task_rows // 10))
     stretches = settle(
         sketch.select(
             *keys,
@@ -108,13 +108,17 @@ def _bracketed(
         inside = inside | F.col("__x").between(F.col(f"__a{i}"), F.col(f"__b{i}"))
         below.append(F.when(F.col(f"__b{i}") < F.col("__x"), F.col(f"__b{i}")))
     moved = F.when(inside, F.col("__x")).otherwise(F.greatest(*below))
-    counted = met.groupBy(*keys, "n", moved.alias("__x")).agg(F.count(F.lit(1)).alias("__m"))
-    upto = F.sum("__m").over(W.partitionBy(*keys, "n").orderBy("__x"))
-    ranked = counted.withColumn("__upto", upto)
+    counted = met.groupBy(*keys, "n", moved.alias("__x"), inside.alias("__own")).agg(
+        F.count(F.lit(1)).alias("__m")
+    )
+    order = W.partitionBy(*keys, "n").orderBy("__x", F.desc("__own"))
+    ranked = counted.withColumn("__upto", F.sum("__m").over(order))
+    # Never reached while the sketch keeps its error bound.
+    lost = F.raise_error(F.lit("quantile outside its enclosing values")).cast("double")
 
     def order_statistic(rank: Column) -> Column:
         hit = (F.col("__upto") > rank) & (F.col("__upto") - F.col("__m") <= rank)
-        return F.max(F.when(hit, F.col("__x")))
+        return F.max(F.when(hit & F.col("__own"), F.col("__x")).when(hit, lost))
 
     spots = []
     for i, p in enumerate(probs):

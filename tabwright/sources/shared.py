@@ -17,6 +17,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_LOCAL: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -29,9 +30,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="tabwright-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL:
+        _LOCAL[application] = tempfile.mkdtemp(prefix="tabwright-")
+    return _LOCAL[application]
 
 
 def settle(df: DataFrame, path: str | None = None) -> DataFrame:

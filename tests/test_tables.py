@@ -341,3 +341,18 @@ def test_row_wise_operators_run_on_a_stream(spark, tmp_path):
         ("date:2024-03-01^ total_amount:sign=1| mant=5.0000| exponent=0^ transaction_code:sale^ day_type:holiday",),
         ("date:2024-03-04^ total_amount:NULL^ transaction_code:purchase^ day_type:workday",),
     ]
+
+
+def test_estimated_distinct_counts(spark):
+    df = spark.range(5000).select("id", (F.col("id") % 10).cast("string").alias("s"), F.lit(None).cast("int").alias("e"))
+    got = {r["column"]: r["unique_count"] for r in profile.column_statistics(df, exact_distinct=False).collect()}
+    assert abs(got["id"] - 5000) < 500 and got["s"] == 10 and got["e"] == 0
+
+
+def test_shared_folder(spark, monkeypatch):
+    from tabwright.sources import shared
+
+    assert shared.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    monkeypatch.setattr(shared, "_SETTING", "spark.no.such.setting")
+    folder = shared.shared_folder(spark)
+    assert folder == shared.shared_folder(spark) and "tabwright-" in folder
