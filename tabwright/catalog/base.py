@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.functions.columns import FLOATS, c
 from tabwright.functions.numbers import half_even
+from tabwright.session import tune
 from tabwright.sources.shared import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,7 +31,13 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query registered twice: {name}")
-        QUERIES[name] = function
+
+        @wraps(function)
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            tune(spark)
+            return function(spark, folder)
+
+        QUERIES[name] = run
         if sql is not None:
             SQL[name] = sql
         return function

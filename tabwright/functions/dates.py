@@ -33,8 +33,9 @@ def yyyymmdd(value: Column, dtype: T.DataType) -> Column:
     """YYYYMMDD as an integer when the first digit run has exactly eight digits."""
     if isinstance(dtype, NUMBERS):
         return _eight_digits(value)
-    text = value.cast("string")
-    return F.regexp_extract(text, r"^\D*(\d{8})(?:\D|$)", 1).try_cast("int")
+    # Cast only what is known to be a number: a try_cast that fails costs an exception.
+    run = F.regexp_extract(value.cast("string"), r"^\D*(\d{8})(?:\D|$)", 1)
+    return F.when(F.length(run) == 8, run).cast("int")
 
 
 def calendar_date(value: Column, dtype: T.DataType) -> Column:

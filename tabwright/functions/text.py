@@ -8,7 +8,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tabwright.fixed_values import MISSING_TEXT, MISSING_TOKEN, WORD_SPACE
-from tabwright.functions.numbers import half_even
 
 _SPACES = "".join(chr(code) for code in WORD_SPACE)
 
@@ -19,7 +18,7 @@ def fill_missing(
     token: str = MISSING_TOKEN,
 ) -> Column:
     """The token in place of NULL and of any spelling of a missing value."""
-    return F.when(text.isNull() | text.isin(list(spellings)), F.lit(token)).otherwise(text)
+    return F.coalesce(F.when(~text.isin(list(spellings)), text), F.lit(token))
 
 
 def amount_scientific(value: Column) -> Column:
@@ -29,12 +28,16 @@ def amount_scientific(value: Column) -> Column:
     """
     size = F.nullif(F.abs(value), F.lit(0.0))
     exponent = F.floor(F.log10(size))
-    mantissa = half_even(size / F.pow(F.lit(10.0), exponent.cast("double")), 4)
+    scaled = F.rint(size / F.pow(F.lit(10.0), exponent.cast("double")) * F.lit(10_000.0))
+    digits = scaled.try_cast("bigint").cast("string")
+    mantissa = F.concat(
+        F.substr(digits, F.lit(1), F.length(digits) - 4), F.lit("."), F.right(digits, F.lit(4))
+    )
     return F.concat(
         F.lit("sign="),
         F.signum(value).cast("int").cast("string"),
         F.lit("| mant="),
-        F.coalesce(mantissa, F.lit(0.0)).try_cast("decimal(6,4)").cast("string"),
+        F.when(value == 0, F.lit("0.0000")).otherwise(mantissa),
         F.lit("| exponent="),
         F.coalesce(exponent, F.lit(0)).cast("string"),
     )

@@ -49,7 +49,7 @@ def label_slots(
         found, order = distinct_labels(df, label), [F.col("label")]
     # A label that is spelled like a placeholder already has its slot.
     own = F.regexp_extract("label", r"^dummy_([1-9]\d{0,8})$", 1)
-    placeholder = (own != "") & (own.try_cast("int") <= max_classes)
+    placeholder = F.when(own != "", own).cast("int") <= max_classes
     found = settle(found.where(~F.coalesce(placeholder, F.lit(False))))
     real = found.count()
     if real > max_classes:
