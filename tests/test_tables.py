@@ -356,3 +356,14 @@ def test_shared_folder(spark, monkeypatch):
     monkeypatch.setattr(shared, "_SETTING", "spark.no.such.setting")
     folder = shared.shared_folder(spark)
     assert folder == shared.shared_folder(spark) and "tabwright-" in folder
+
+
+def test_rename_by_a_mapping_file(spark, tmp_path):
+    from tabwright.operators.naming import rename_from_mapping
+    from tabwright.sources.mappings import mapping_dict, read_mapping
+
+    path = tmp_path / "names.json"
+    path.write_text(json.dumps({"전표.키": "key", "zz": "y"}, ensure_ascii=False, indent=2), encoding="utf-8")
+    names_of = mapping_dict(read_mapping(spark, str(path)))
+    renamed, done = rename_from_mapping(spark.createDataFrame([(1, 2)], ["전표.키", "v"]), names_of)
+    assert renamed.columns == ["key", "v"] and done == {"전표.키": "key"}
