@@ -2,10 +2,12 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tabwright.catalog import QUERIES, SQL, load_all
 from tests.oracle import connect, differences
 
 FOLDER = "/root/testdata/sf0.001"
+load_all()
 
 
 @pytest.fixture(scope="module")
@@ -13,13 +15,13 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    assert differences(spark, con, FOLDER, queries()[name], oracle_sql()[name]) == []
+    assert differences(spark, con, FOLDER, QUERIES[name], SQL[name]) == []
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(SQL)
 
 
 def test_entry(spark):
