@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabwright.llm import quality_rules
+from tabwright.llm import mixing, quality_rules, sharding
 from tabwright.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,5 +21,18 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op6_quality_rules,)}
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """What a mix of all sources takes of each document."""
+    return mixing.mix(documents(spark, folder)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """The shard and place of every document, by bytes."""
+    return sharding.assign_shards(documents(spark, folder)).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op6_quality_rules, op7_mixing, op10_sharding)}
 SQL: dict[str, str] = {}
