@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import mixing, quality_rules, sharding
+from tabwright.llm import fingerprints, mixing, quality_rules, sharding
 from tabwright.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,11 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(documents(spark, folder)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every text and of its edit, and their likeness."""
+    return fingerprints.compare_edits(documents(spark, folder))
+
+
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """The shard and place of every document, by bytes."""
     return sharding.assign_shards(documents(spark, folder)).select(
@@ -34,5 +39,5 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op6_quality_rules, op7_mixing, op10_sharding)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op6_quality_rules, op7_mixing, op8_fingerprints, op10_sharding)}
 SQL: dict[str, str] = {}

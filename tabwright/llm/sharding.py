@@ -30,7 +30,7 @@ TOLERANCE = 0.001
 _BITS = 12
 _SALTS = 16
 #: A group of copies is placed by itself from this part of a shard's share on.
-_HEAVY = 1 / 8
+_HEAVY = 1 / 32
 
 
 def text_key(text: Column) -> Column:
