@@ -7,12 +7,51 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import fingerprints, mixing, quality_rules, sharding
+from tabwright.llm import fingerprints, mixing, near_duplicates, packing, quality_rules, sharding
 from tabwright.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of texts that share at least 85 % of their three-word shingles."""
+    return near_duplicates.near_duplicates(documents(spark, folder), n=3, percent=85)
+
+
+OP2_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [w]
+    ELSE list_distinct([[w[i], w[i + 1], w[i + 2]] FOR i IN range(1, len(w) - 1)]) END AS s
+  FROM words
+), items AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM items a JOIN items b ON a.item = b.item AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+), least AS (
+  SELECT a, min(b) AS component_id FROM reached GROUP BY a
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN least ON doc_id = a
+"""
+
+
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents as token pieces, packed into sequences of 2,048."""
+    return packing.pack(documents(spark, folder))
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts, distances from the language's histograms and the verdict for each document."""
     return quality_rules.judge(documents(spark, folder)).select(
@@ -39,5 +78,5 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op6_quality_rules, op7_mixing, op8_fingerprints, op10_sharding)}
-SQL: dict[str, str] = {}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_near_duplicates, op5_packing, op6_quality_rules, op7_mixing, op8_fingerprints, op10_sharding)}
+SQL: dict[str, str] = {"op2_near_duplicates": OP2_SQL}
