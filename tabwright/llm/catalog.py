@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import fingerprints, mixing, near_duplicates, packing, quality_rules, sharding
+from tabwright.llm import fingerprints, language_model, mixing, near_duplicates, packing, quality_rules, sharding
 from tabwright.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,11 @@ FROM sets JOIN least ON doc_id = a
 """
 
 
+def op3_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Unigram and recurrent model scores of all documents."""
+    return language_model.score(documents(spark, folder))
+
+
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents as token pieces, packed into sequences of 2,048."""
     return packing.pack(documents(spark, folder))
@@ -78,5 +83,5 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_near_duplicates, op5_packing, op6_quality_rules, op7_mixing, op8_fingerprints, op10_sharding)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_near_duplicates, op3_language_model, op5_packing, op6_quality_rules, op7_mixing, op8_fingerprints, op10_sharding)}
 SQL: dict[str, str] = {"op2_near_duplicates": OP2_SQL}
