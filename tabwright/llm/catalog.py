@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import fingerprints, language_model, mixing, near_duplicates, packing, quality_rules, sharding
+from tabwright.llm import fingerprints, language_id, language_model, mixing, near_duplicates, packing, quality_rules, sharding
 from tabwright.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,11 @@ def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.compare_edits(documents(spark, folder))
 
 
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every text, learned from four fifths of them."""
+    return language_id.identify(documents(spark, folder))
+
+
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """The shard and place of every document, by bytes."""
     return sharding.assign_shards(documents(spark, folder)).select(
@@ -83,5 +88,5 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_near_duplicates, op3_language_model, op5_packing, op6_quality_rules, op7_mixing, op8_fingerprints, op10_sharding)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_near_duplicates, op3_language_model, op5_packing, op6_quality_rules, op7_mixing, op8_fingerprints, op9_language_id, op10_sharding)}
 SQL: dict[str, str] = {"op2_near_duplicates": OP2_SQL}
