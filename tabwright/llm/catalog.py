@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import fingerprints, language_id, language_model, mixing, near_duplicates, packing, quality_rules, sharding
+from tabwright.llm import fingerprints, language_id, language_model, mixing, near_duplicates, packing, quality_rules, sharding, suffix_dedup
 from tabwright.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every text without strings of 400 bytes met elsewhere."""
+    return suffix_dedup.removal_report(documents(spark, folder))
+
+
 def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of texts that share at least 85 % of their three-word shingles."""
     return near_duplicates.near_duplicates(documents(spark, folder), n=3, percent=85)
@@ -88,5 +93,5 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_near_duplicates, op3_language_model, op5_packing, op6_quality_rules, op7_mixing, op8_fingerprints, op9_language_id, op10_sharding)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_dedup, op2_near_duplicates, op3_language_model, op5_packing, op6_quality_rules, op7_mixing, op8_fingerprints, op9_language_id, op10_sharding)}
 SQL: dict[str, str] = {"op2_near_duplicates": OP2_SQL}
