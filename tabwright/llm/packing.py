@@ -39,16 +39,21 @@ GROUP = 50_000
 #: One rest in so many may be cut.
 CUTTABLE = 8
 _SEED = 5
-_KNOWN_WORDS = 400_000
+_KNOWN_WORDS = 1_000_000
 PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, ids binary, part bigint"
 PLACED = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
+#: Between words that are encoded in one go; its id is met in no word without its text.
+_MARK = "<|startoftext|>"
+
+
 class Encoder:
     """Ids of texts; words met before are looked up.
 
-    The vocabulary's own splitting never joins what white space separates, so a text's
-    ids are those of its words one after the other.
+    The vocabulary's own splitting never joins what white space separates, nor letters
+    and a full stop or comma after them, and it lower-cases letters; so a text's ids are
+    those of its words one after the other, and ``word,`` has the ids of both its parts.
     """
 
     def __init__(self, path: str | None = None) -> None:
@@ -59,55 +64,88 @@ class Encoder:
 
             path = public_tokenizers.path(VOCABULARY)
         self._tokenizer = Tokenizer.from_file(path)
+        self._mark = self._tokenizer.token_to_id(_MARK)
         self._forget()
 
     def _forget(self) -> None:
         self._known: dict[bytes, int] = {}
-        self._ids: list[np.ndarray] = []
         self._starts = np.zeros(1, np.int64)
         self._flat = np.empty(0, np.uint32)
 
-    def _learn(self, words: list[bytes]) -> None:
-        new = list(dict.fromkeys(w for w in words if w not in self._known))
-        if not new:
-            return
-        found = self._tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        ids = [e.ids for e in found]
+    def _add(self, words: list[bytes], sizes: np.ndarray, flat: np.ndarray) -> None:
         at = len(self._known)
-        self._known.update(zip(new, range(at, at + len(new)), strict=True))
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        self._known.update(zip(words, range(at, at + len(words)), strict=True))
         self._starts = np.concatenate((self._starts, self._starts[-1] + np.cumsum(sizes)))
-        self._flat = np.concatenate((self._flat, np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))))
+        self._flat = np.concatenate((self._flat, flat))
+
+    def _encode_words(self, words: list[bytes]) -> None:
+        plain = [w for w in words if b"<|" not in w] if self._mark is not None else []
+        if plain:
+            texts = b" ".join(plain).decode().split(" ")
+            joined = [_MARK.join(texts[i : i + 500]) + _MARK for i in range(0, len(texts), 500)]
+            found = self._tokenizer.encode_batch_fast(joined, add_special_tokens=False)
+            flat = np.concatenate([np.array(e.ids, np.uint32) for e in found])
+            marks = np.flatnonzero(flat == self._mark)
+            self._add(plain, np.diff(np.concatenate(([-1], marks))) - 1, flat[flat != self._mark])
+        for w in words if self._mark is None else [w for w in words if b"<|" in w]:
+            ids = np.array(self._tokenizer.encode(w.decode(), add_special_tokens=False).ids, np.uint32)
+            self._add([w], np.array([ids.size]), ids)
+
+    def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of known words one after the other, and how many each has."""
+        first, size = self._starts[at], self._starts[at + 1] - self._starts[at]
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if ends.size else 0
+        return self._flat[np.arange(total) + np.repeat(first - (ends - size), size)], size
+
+    def _learn(self, words: list[list[bytes]]) -> None:
+        new = set().union(*words) - self._known.keys()
+        pairs = [w for w in new if w[-1:] in (b".", b",") and w[:-1].isalpha()]
+        new.difference_update(pairs)
+        new.update({w[:-1] for w in pairs} | {w[-1:] for w in pairs})
+        new -= self._known.keys()
+        if new:
+            self._encode_words(sorted(new))
+        if pairs:
+            at = np.fromiter((self._known[x] for w in pairs for x in (w[:-1], w[-1:])), np.int64, 2 * len(pairs))
+            flat, size = self._gather(at)
+            self._add(pairs, size.reshape(-1, 2).sum(1), flat)
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         if len(self._known) > _KNOWN_WORDS:
             self._forget()
-        words = [t.split() for t in texts]
-        self._learn([w for each in words for w in each])
+        words = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        self._learn(words)
         known = self._known
         out = []
         for each in words:
-            at = np.fromiter(map(known.__getitem__, each), np.int64, len(each))
-            first, size = self._starts[at], self._starts[at + 1] - self._starts[at]
-            ends = np.cumsum(size)
-            total = int(ends[-1]) if ends.size else 0
-            index = np.arange(total) + np.repeat(first - (ends - size), size)
-            out.append(np.append(self._flat[index], np.uint32(END)))
+            ids, _ = self._gather(np.fromiter(map(known.__getitem__, each), np.int64, len(each)))
+            out.append(np.append(ids, np.uint32(END)))
         return out
 
 
+_ENCODERS: dict[str | None, Encoder] = {}
+
+
+def encoder(path: str | None) -> Encoder:
+    """The worker's encoder, kept from task to task with the words it knows."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 def checksum(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
 def _cut(batches: Iterator[pa.RecordBatch], path: str | None, length: int) -> Iterator[pa.RecordBatch]:
-    encoder = Encoder(path)
+    ids_of = encoder(path)
     for batch in batches:
         doc_ids, salts = batch.column("doc_id").to_pylist(), batch.column("salt").to_pylist()
         texts = [x.as_py() or b"" for x in batch.column("text").cast(pa.binary())]
         for begin in range(0, len(texts), 256):
             rows = []
-            for i, ids in enumerate(encoder.encode(texts[begin : begin + 256]), begin):
+            for i, ids in enumerate(ids_of.encode(texts[begin : begin + 256]), begin):
                 for start in range(0, ids.size, length):
                     piece = ids[start : start + length]
                     part = zlib.crc32(f"{salts[i]}:{start}".encode())
@@ -223,7 +261,7 @@ def sequence_ids(docs: DataFrame, packed: DataFrame, path: str | None = None) ->
 
 
 def _fill(batches: Iterator[pa.RecordBatch], path: str | None) -> Iterator[pa.RecordBatch]:
-    encoder = Encoder(path)
+    ids_of = encoder(path)
     for batch in batches:
         doc_ids = batch.column("doc_id").to_pylist()
         plans = batch.column("plan").to_pylist()
@@ -231,7 +269,7 @@ def _fill(batches: Iterator[pa.RecordBatch], path: str | None) -> Iterator[pa.Re
         for begin in range(0, len(texts), 256):
             rows = [
                 (p["sequence_id"], p["offset"], doc_ids[i], p["start"], ids[p["start"] : p["start"] + p["length"]].astype(np.int32))
-                for i, ids in enumerate(encoder.encode(texts[begin : begin + 256]), begin)
+                for i, ids in enumerate(ids_of.encode(texts[begin : begin + 256]), begin)
                 for p in plans[i]
             ]
             kinds = [pa.int64()] * 4 + [pa.list_(pa.int32())]
