@@ -36,6 +36,7 @@ SLOTS_PER_SHARD = 1024
 SEED = 20
 BUCKETS = 1024
 _ROUNDS = 24
+_TASK_SLOTS = 50_000
 
 
 def permuted(index: Column, size: Column, *key: Column | int) -> Column:
@@ -109,10 +110,11 @@ def source_slots(targets: DataFrame, block: int = BLOCK_WORDS, shard: int = SLOT
     by_source = W.orderBy(F.col("source").asc_nulls_last()).rowsBetween(W.unboundedPreceding, W.currentRow)
     plan = plan.withColumn("first_slot", F.sum("slots").over(by_source) - F.col("slots"))
     plan = settle(plan.withColumn("all_slots", F.sum("slots").over(W.partitionBy())))
-    # A source's draws are made in runs of at most one shard's length, then told apart.
+    # A source's draws are made in runs of at most one shard's length, spread over tasks.
+    total = plan.agg(F.sum("slots")).first()[0] or 0
     runs = plan.where("slots > 0").select(
         "*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(slots - 1) div {shard}"))).alias("run")
-    )
+    ).repartition(1 + total // _TASK_SLOTS, "source", "run")
     draws = runs.select(
         "*",
         F.explode(
@@ -180,7 +182,8 @@ def mix(docs: DataFrame, block: int = BLOCK_WORDS, seed: int = SEED, **targets)
     """
     streams = settle(source_streams(docs, seed))
     goals = settle(source_targets(streams, **targets))
-    slots = source_slots(goals, block, seed=seed).select(
+    # Settled, so that Spark knows its size: it grows with the words.
+    slots = settle(source_slots(goals, block, seed=seed)).select(
         F.col("source").alias("__s"), F.col("block").alias("__b"), "round", "words"
     )
     last = F.expr(f"(start + greatest(size, 1) - 1) div {block}")
