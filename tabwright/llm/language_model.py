@@ -30,6 +30,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import partial
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,8 @@ VOCABULARY = 1022
 CLASSES = 32
 STEPS = 32
 LANES = 256
+#: Documents scored side by side.
+SCORE_LANES = 1024
 RATE = 0.03
 ROUNDS = 2
 #: Most words whose counts go to every task; the rest meet the texts by a join.
@@ -100,14 +103,19 @@ class Network:
         """States after each step for ids (steps, lanes); ``keep``: with what backward needs;
         ``fresh``: where a document begins, at which the state is set to nothing."""
         w, h = self.w, HIDDEN
-        x = self.w["embed"][ids] @ w["wx"] + w["b"]
+        x = (w["embed"] @ w["wx"] + w["b"])[ids]
         out = np.empty((*ids.shape, h), np.float32)
         kept = []
         wh, wn = w["wh"][:, : 2 * h], w["wh"][:, 2 * h :]
         for t in range(ids.shape[0]):
             if fresh is not None and fresh[t].any():
                 state = state * ~fresh[t][:, None]
-            gates = 1 / (1 + np.exp(-(x[t, :, : 2 * h] + state @ wh)))
+            gates = state @ wh
+            gates += x[t, :, : 2 * h]
+            np.negative(gates, out=gates)
+            np.exp(gates, out=gates)
+            gates += 1
+            np.reciprocal(gates, out=gates)
             z, r = gates[:, :h], gates[:, h:]
             new = np.tanh(x[t, :, 2 * h :] + (r * state) @ wn)
             if keep:
@@ -125,7 +133,7 @@ class Network:
         w = self.w
         of, inside = np.divmod(targets, self.per_class)
         order = np.argsort(of.astype(np.int16), kind="stable")
-        of, inside, turned = of[order], inside[order], np.ascontiguousarray(states.T[:, order])
+        of, inside, turned = of[order], inside[order], np.ascontiguousarray(states[order].T)
         edges = np.searchsorted(of, np.arange(w["bc"].size + 1))
         at = np.arange(targets.size)
         shares = w["wc"].T @ turned
@@ -163,9 +171,8 @@ class Network:
         out[order] = found
         d_states = None
         if slopes:
-            d_states = np.empty_like(d_turned)
-            d_states[:, order] = d_turned
-            d_states = d_states.T
+            d_states = np.empty(states.shape, d_turned.dtype)
+            d_states[order] = d_turned.T
         return out, d_states, grads
 
     def backward(self, ids: np.ndarray, kept: list, d_out: np.ndarray, fresh: np.ndarray) -> dict[str, np.ndarray]:
@@ -269,8 +276,8 @@ def score_documents(net: Network, texts: list[np.ndarray]) -> np.ndarray:
     """Natural log-probability of each document (ids, the end included), state carried through."""
     scores = np.zeros(len(texts))
     order = sorted(range(len(texts)), key=lambda i: -texts[i].size)
-    for begin in range(0, len(order), LANES):
-        here = order[begin : begin + LANES]
+    for begin in range(0, len(order), SCORE_LANES):
+        here = order[begin : begin + SCORE_LANES]
         sizes = np.array([texts[i].size for i in here])
         state = np.zeros((len(here), HIDDEN), np.float32)
         before = np.zeros(len(here), np.int64)
@@ -297,17 +304,21 @@ def score_documents(net: Network, texts: list[np.ndarray]) -> np.ndarray:
 # --- in Spark ------------------------------------------------------------------------
 
 
-def _ids(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
-    get = known.get
-    out = np.fromiter((get(w, 1) for w in words), np.int64, len(words))
-    return np.append(out, 0)
+def _places(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
+    """Place of each word among the known ones, -1 for others."""
+    return np.fromiter(map(known.get, words, repeat(-1)), np.int64, len(words))
+
+
+def _ids(places: np.ndarray, vocabulary: int) -> np.ndarray:
+    """The network's ids, the end of text included."""
+    return np.append(np.where((places >= 0) & (places < vocabulary), places + 2, 1), 0)
 
 
 def _train(batches: Iterator[pa.RecordBatch], net: Network, known: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
     squares = {k: np.full_like(v, 1e-8) for k, v in net.w.items()}
     words = 0
     for batch in batches:
-        texts = [_ids(split_words(x.as_py()), known) for x in batch.column("text").cast(pa.binary())]
+        texts = [_ids(_places(split_words(x.as_py()), known), len(known)) for x in batch.column("text").cast(pa.binary())]
         for begin in range(0, len(texts), 4096):
             train_on(net, texts[begin : begin + 4096], squares)
         words += sum(t.size for t in texts)
@@ -340,41 +351,37 @@ def train(docs: DataFrame, net: Network, known: dict[bytes, int], rounds: int =
     return net
 
 
-def _score(batches: Iterator[pa.RecordBatch], net: Network, known: dict[bytes, int], sent: dict[bytes, int], n: int, v: int, log_other: float) -> Iterator[pa.RecordBatch]:
+def _score(
+    batches: Iterator[pa.RecordBatch], net: Network, known: dict[bytes, int], counts: np.ndarray,
+    vocabulary: int, end: int, n: int, v: int, log_other: float,
+) -> Iterator[pa.RecordBatch]:
     """Scores of what every task knows, and the words that only the join knows.
 
-    ``log_other``: log10 of the share of all words outside the vocabulary.
+    ``known``: words by rank, ``counts``: theirs; ``log_other``: log10 of the share of all
+    words outside the vocabulary.
     """
     bottom = math.log10(n + v + 1)
-    end = math.log10(sent.get(b"", 0) + 1) - bottom
-    logs = {w: math.log10(c + 1) - bottom for w, c in sent.items()}
+    # At the last place, which -1 names, words that are not known here: nothing yet.
+    logs = np.append(np.log10(counts + 1.0) - bottom, 0.0)
+    outside = np.where(np.arange(logs.size) < vocabulary, 0.0, logs - log_other)
+    outside[-1] = 0.0
+    end_log = math.log10(end + 1) - bottom
     for batch in batches:
         texts = [split_words(x.as_py()) for x in batch.column("text").cast(pa.binary())]
-        base, known_n, outside, rare = [], [], [], []
-        for words in texts:
-            total, seen, other, missing = end, int(sent.get(b"", 0) > 0), 0.0, []
-            found = list(map(logs.get, words))
-            for w, log in zip(words, found, strict=True):
-                if log is None:
-                    missing.append(w)
-                else:
-                    total += log
-                    if w not in known:
-                        other += log - log_other
-            seen += len(words) - len(missing)
-            base.append(total)
-            known_n.append(seen)
-            outside.append(other)
-            rare.append(missing)
+        places = [_places(words, known) for words in texts]
+        base = [float(logs[p].sum()) + end_log for p in places]
+        other = [float(outside[p].sum()) for p in places]
+        seen = [int((p >= 0).sum()) + (end > 0) for p in places]
+        rare = [[words[i] for i in np.flatnonzero(p < 0)] for words, p in zip(texts, places, strict=True)]
         scores = np.zeros(len(texts))
         for begin in range(0, len(texts), 4096):
-            ids = [_ids(w, known) for w in texts[begin : begin + 4096]]
+            ids = [_ids(p, vocabulary) for p in places[begin : begin + 4096]]
             scores[begin : begin + 4096] = score_documents(net, ids) / math.log(10)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"), batch.column("held_out"),
-                pa.array([len(w) + 1 for w in texts], pa.int64()), pa.array(known_n, pa.int64()),
-                pa.array(base, pa.float64()), pa.array(scores + np.array(outside), pa.float64()),
+                pa.array([len(w) + 1 for w in texts], pa.int64()), pa.array(seen, pa.int64()),
+                pa.array(base, pa.float64()), pa.array(scores + np.array(other), pa.float64()),
                 pa.array(rare, pa.list_(pa.binary())),
             ],
             ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare"],
@@ -407,18 +414,21 @@ def score(docs: DataFrame, held_out: Column | None = None, vocabulary: int = VOC
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     top = counts.where("word <> ''").orderBy(F.desc("n"), "word").limit(sent_words).collect()
     ends = counts.where("word = ''").first()
-    sent = {r["word"].encode(): r["n"] for r in top} | ({b"": ends["n"]} if ends else {})
-    chosen = [r["word"].encode() for r in top[:vocabulary]]
-    known = {w: i + 2 for i, w in enumerate(chosen)}
-    inside = sum(sent[w] for w in chosen)
-    of_ids = np.array([sent.get(b"", 0), n - inside - sent.get(b"", 0), *[sent[w] for w in chosen]], float)
-    net = train(training, Network.start(of_ids), known)
+    words, sizes = [r["word"].encode() for r in top], np.array([r["n"] for r in top], np.int64)
+    end = ends["n"] if ends else 0
+    chosen = words[:vocabulary]
+    inside = int(sizes[:vocabulary].sum())
+    of_ids = np.array([end, n - inside - end, *sizes[:vocabulary]], float)
+    net = train(training, Network.start(of_ids), {w: i for i, w in enumerate(chosen)})
     # Places of the smoothed counts outside the vocabulary: those words, and one unseen.
-    places = v - len(chosen) - (b"" in sent)
+    places = v - len(chosen) - (end > 0)
     log_other = math.log10((of_ids[1] + places + 1) / (n + v + 1))
     first = settle(
         marked.mapInArrow(
-            partial(_score, net=net, known=known, sent=sent, n=n, v=v, log_other=log_other),
+            partial(
+                _score, net=net, known={w: i for i, w in enumerate(words)}, counts=sizes,
+                vocabulary=len(chosen), end=end, n=n, v=v, log_other=log_other,
+            ),
             "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, rare array<binary>",
         ).withColumn("row", F.monotonically_increasing_id())
     )
