@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from tabwright.llm.common import settle
 
 
+_FILE_EDGES = 200_000
+
+
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.hash("u", "v").cast("bigint"))).first())
 
@@ -27,6 +30,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     """``node`` and ``component`` (its least node) for the nodes of ``links`` (``a``, ``b``)."""
     edges = settle(_pointed(links.select(F.col("a").alias("u"), F.col("b").alias("v"))))
     before = _state(edges)
+    files = 1 + before[0] // _FILE_EDGES
     while before[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m"))
@@ -42,7 +46,7 @@ def connected_components(links: DataFrame) -> DataFrame:
                 met.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
                     small_least.select(F.col("w").alias("u"), F.col("m").alias("v"))
                 )
-            )
+            ).coalesce(files)
         )
         after = _state(edges)
         if after == before:

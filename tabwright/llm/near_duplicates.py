@@ -5,12 +5,19 @@
    0.85 miss each other in all bands once in 40 million times.
 2. Equal sets form a class, by a 128-bit sum over the set. Only the least id of a class
    goes on, so copies, however many, cost one row each.
-3. Classes that agree in a band share a bucket. In each bucket every member is compared
-   with one pivot, on the full sets of both texts; links give components; buckets whose
-   members are in several components get another pivot. When few pairs of different
-   components are left in shared buckets, or a round brought nothing, all of these are
-   compared. Pairs inside a component need no check, so a bucket of k near copies costs
-   about k comparisons and not k squared, and no link between components is lost.
+3. Classes that agree in a band share a bucket, in which every member is compared with
+   the least one, on the full sets of both texts. Links give components, and only pairs
+   of different components are still open. Buckets of fewer than ``FEW`` members are then
+   compared whole.
+4. Larger buckets hold near copies, or texts around one passage that are not near. Their
+   members are dealt anew: two sets of the wanted similarity must share one of the rarest
+   shingles of each (as many as they may lack, and one). Rare is told by a table of
+   counts of fixed size; any order gives whole results. In these groups, in which many
+   members are near copies, every member is compared with one pivot.
+   Then most are in one component, and the rest of each family of groups is compared
+   with all of it, block by block: a block of texts is one sorted list of shingles that
+   each of the others is counted against. So k near copies cost about k comparisons, and
+   those outside their component one pass over it; no link between components is lost.
 
 Defined cases: a NULL or blank text has an empty set and is linked with nothing; rows
 with one id are one document with the links of all of them; a NULL id is linked with
@@ -20,9 +27,10 @@ nothing, has a NULL component and is kept; an empty table gives an empty table.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,7 +46,11 @@ BANDS = 24
 ROWS = 4
 SEED = 2
 _BLOCK = 2048
-_PIVOT_ROUNDS = 12
+_PIVOT_ROUNDS = 1
+_BLOCK_TEXTS = 500
+#: From so many members on a bucket is dealt anew by rare shingles.
+FEW = 12
+_CELLS = 1 << 20
 
 
 def _set_of(words: np.ndarray, n: int) -> np.ndarray:
@@ -150,58 +162,204 @@ def _placed(members: DataFrame, components: DataFrame | None) -> DataFrame:
     named = members.join(components, F.col("doc") == F.col("node"), "left").select(
         "bucket", "doc", F.coalesce("component", "doc").alias("component")
     )
-    mixed_buckets = (
+    open_buckets = (
         named.groupBy(F.col("bucket").alias("open"))
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("held"))
         .where("low < high")
-        .select("open")
     )
-    return named.join(mixed_buckets, F.col("bucket") == F.col("open"), "left_semi")
+    return named.join(open_buckets.select("open", "held"), F.col("bucket") == F.col("open")).drop("open")
+
+
+def _cells(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    """How often shingles are met in a batch of texts, by cell of a table."""
+    for batch in batches:
+        items = [_set_of(w, n) for w in batched(x.as_py() for x in batch.column("text").cast(pa.binary()))]
+        cells = np.concatenate(items) % np.uint64(_CELLS) if items else np.empty(0, np.uint64)
+        values, times = np.unique(cells.astype(np.int64), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(times)], ["cell", "times"])
+
+
+def _rarest(batches: Iterator[pa.RecordBatch], n: int, percent: int, table: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        docs, tokens = [], []
+        texts = (x.as_py() for x in batch.column("text").cast(pa.binary()))
+        for doc, words in zip(batch.column("doc_id").to_pylist(), batched(texts), strict=True):
+            items = _set_of(words, n)
+            order = np.lexsort((items, table[(items % np.uint64(_CELLS)).astype(np.int64)]))
+            # A set of the wanted similarity lacks at most (100 - percent) % of these.
+            prefix = items.size - -(-percent * items.size // 100) + 1
+            tokens.append(items[order[:prefix]].view(np.int64))
+            docs.append(np.full(tokens[-1].size, doc))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(tokens) if tokens else [], pa.int64()), pa.array(np.concatenate(docs) if docs else [], pa.int64())],
+            ["bucket", "doc"],
+        )
+
+
+def _by_rare_shingles(texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """``bucket`` (a rare shingle) and ``doc``, for shingles rare in two texts or more."""
+    counted = texts.mapInArrow(partial(_cells, n=n), "cell bigint, times bigint").groupBy("cell").agg(F.sum("times").alias("times"))
+    found = counted.toPandas()  # at most _CELLS rows
+    table = np.zeros(_CELLS, np.int64)
+    table[found["cell"].to_numpy(np.int64)] = found["times"].to_numpy(np.int64)
+    each = settle(texts.mapInArrow(partial(_rarest, n=n, percent=percent, table=table), "bucket bigint, doc bigint"))
+    shared = each.groupBy(F.col("bucket").alias("shared")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return each.join(shared.select("shared"), F.col("bucket") == F.col("shared")).select("bucket", "doc")
+
+
+def _open_pairs(placed: DataFrame) -> int:
+    return (
+        placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inside"))
+        .agg(F.sum((F.col("n") * F.col("n") - F.col("inside")) / 2))
+        .first()[0]
+        or 0
+    )
+
+
+def _pairs(placed: DataFrame, turn: int | None) -> DataFrame:
+    """Pairs of different components: with the pivot of ``turn``, or all in a bucket."""
+    other = placed.select(
+        F.col("bucket").alias("b_bucket"), F.col("doc").alias("other"), F.col("component").alias("b_component")
+    )
+    if turn is not None:
+        order = F.col("other") if turn == 0 else F.xxhash64("other", F.lit(turn))
+        first = F.min_by(F.struct("other", "b_component"), order)
+        other = other.groupBy("b_bucket").agg(first.alias("p")).select("b_bucket", "p.*")
+    return (
+        placed.join(other, F.col("bucket") == F.col("b_bucket"))
+        .where(F.col("component") != F.col("b_component"))
+        .select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b"))
+        .distinct()
+    )
+
+
+def _compare_block(frame: pd.DataFrame, n: int, percent: int) -> pd.DataFrame:
+    """Links of the block's seekers with its others, one for each component of these."""
+    rest, seekers = frame[~frame["seeks"]], frame[frame["seeks"]]
+    sets = [_set_of(w, n) for w in batched((t or "").encode() for t in rest["text"])]
+    sizes = np.array([s.size for s in sets])
+    items = np.concatenate(sets) if sets else np.empty(0, np.uint64)
+    order = np.argsort(items)
+    items, owner = items[order], np.repeat(np.arange(len(sets)), sizes)[order]
+    docs, components = rest["doc"].to_numpy(), rest["component"].to_numpy()
+    a, b = [], []
+    for doc, component, words in zip(
+        seekers["doc"], seekers["component"], batched((t or "").encode() for t in seekers["text"]), strict=True
+    ):
+        mine = _set_of(words, n)
+        low, high = np.searchsorted(items, mine, "left"), np.searchsorted(items, mine, "right")
+        size = high - low
+        at = np.arange(size.sum()) + np.repeat(low - (np.cumsum(size) - size), size)
+        shared = np.bincount(owner[at], minlength=len(sets))
+        near = (100 * shared >= percent * (mine.size + sizes - shared)) & (components != component)
+        _, first = np.unique(components[near], return_index=True)
+        for other in docs[near][first]:
+            a.append(min(doc, other))
+            b.append(max(doc, other))
+    return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+
+
+def _family_links(placed: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """All links between components of a family: groups that share members, directly or not."""
+    least = placed.groupBy(F.col("bucket").alias("of")).agg(F.min("doc").alias("b"))
+    ties = placed.join(least, F.col("bucket") == F.col("of")).select(F.col("doc").alias("a"), "b").distinct()
+    families = connected_components(ties).select("node", F.col("component").alias("family"))
+    members = settle(
+        placed.select("doc", "component").distinct()
+        .join(families, F.col("doc") == F.col("node")).select("family", "doc", "component")
+    )
+    by_component = members.groupBy("family", "component").agg(F.count(F.lit(1)).alias("n"))
+    largest = settle(
+        by_component.groupBy(F.col("family").alias("f")).agg(
+            F.sum("n").alias("all"), F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("in_main")
+        )
+    )
+    met = members.join(largest, F.col("family") == F.col("f")).withColumns(
+        {
+            "rows": F.expr(f"cast((all - 1) div {_BLOCK_TEXTS} as int)"),
+            "columns": F.expr(f"cast((all - in_main) div {_BLOCK_TEXTS} as int)"),
+            "h": F.xxhash64("doc"),
+        }
+    )
+    kept = ["family", "doc", "component"]
+    others = met.select(
+        *kept, F.lit(False).alias("seeks"), F.pmod("h", F.col("rows") + 1).cast("int").alias("row"),
+        F.explode(F.sequence(F.lit(0), F.col("columns"))).alias("column"),
+    )
+    seekers = met.where("component <> main").select(
+        *kept, F.lit(True).alias("seeks"), F.explode(F.sequence(F.lit(0), F.col("rows"))).alias("row"),
+        F.pmod("h", F.col("columns") + 1).cast("int").alias("column"),
+    )
+    named = texts.select(F.col("doc_id").alias("id"), "text")
+    return (
+        others.unionByName(seekers).join(named, F.col("doc") == F.col("id"))
+        .groupBy("family", "row", "column")
+        .applyInPandas(partial(_block_links, n=n, percent=percent), "a bigint, b bigint")
+        .distinct()
+    )
+
+
+def _block_links(frame: pd.DataFrame, n: int, percent: int) -> pd.DataFrame:
+    return _compare_block(frame, n, percent)
 
 
 def find_links(classes: DataFrame, docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame | None:
     """Components (``node``, ``component``) of the classes that are linked with others."""
     members = settle(_members(classes))
-    size = members.count()
-    links, components, checked, fruitless = None, None, None, False
-    for turn in range(_PIVOT_ROUNDS + 1):
-        placed = settle(_placed(members, components))
-        by_component = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
-        open_pairs = (
-            by_component.groupBy("bucket")
-            .agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inside"))
-            .agg(F.sum((F.col("n") * F.col("n") - F.col("inside")) / 2))
-            .first()[0]
-        )
-        if not open_pairs:
-            break
-        last = fruitless or turn == _PIVOT_ROUNDS or open_pairs <= size
-        other = placed.select(
-            F.col("bucket").alias("b_bucket"), F.col("doc").alias("other"), F.col("component").alias("b_component")
-        )
-        if not last:
-            first = F.min_by(F.struct("other", "b_component"), F.xxhash64("other", F.lit(turn)))
-            other = other.groupBy("b_bucket").agg(first.alias("p")).select("b_bucket", "p.*")
-        pairs = (
-            placed.join(other, F.col("bucket") == F.col("b_bucket"))
-            .where(F.col("component") != F.col("b_component"))
-            .select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b"))
-            .distinct()
-        )
+    if not members.limit(1).count():
+        return None
+    found: list[DataFrame] = []
+    components: DataFrame | None = None
+    checked: DataFrame | None = None
+
+    def check(pairs: DataFrame, source: DataFrame) -> bool:
+        """Compare the pairs; whether a link was found."""
+        nonlocal checked
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
         pairs = settle(pairs)
-        new = settle(_links(pairs, docs, n, percent))
         checked = pairs if checked is None else checked.unionByName(pairs)
-        fruitless = not new.limit(1).count()
-        if not fruitless:
-            links = new if links is None else links.unionByName(new)
-            components = settle(connected_components(links))
-        if last:
+        return add(_links(pairs, source, n, percent))
+
+    def add(new: DataFrame) -> bool:
+        nonlocal components
+        new = settle(new)
+        if not new.limit(1).count():
+            return False
+        found.append(new)
+        components = settle(connected_components(reduce(DataFrame.unionByName, found)))
+        return True
+
+    check(_pairs(members.withColumn("component", F.col("doc")), 0), docs)
+    left = settle(_placed(members, components if components is not None else _no_components(members)))
+    few = _pairs(left.where(F.col("held") < FEW), None)
+    crowded = left.where(F.col("held") >= FEW).select("doc").distinct()
+    texts = settle(
+        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+        .join(settle(crowded), F.col("doc_id") == F.col("doc"), "left_semi")
+    )
+    dealt = settle(_by_rare_shingles(texts, n, percent))
+    size = dealt.count()
+    check(few, docs)
+    for turn in range(1, _PIVOT_ROUNDS + 2):
+        placed = settle(_placed(dealt, components if components is not None else _no_components(members)))
+        still = _open_pairs(placed)
+        if not still:
+            break
+        if still <= size:
+            check(_pairs(placed, None), texts)
+            break
+        if turn > _PIVOT_ROUNDS or not check(_pairs(placed, turn), texts):
+            add(_family_links(placed, texts, n, percent))
             break
     return components
 
 
+def _no_components(members: DataFrame) -> DataFrame:
+    return members.select(F.col("doc").alias("node"), F.col("doc").alias("component")).where("false")
+
+
 def near_duplicates(
     docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
