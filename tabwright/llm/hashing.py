@@ -31,7 +31,8 @@ def _power(at: np.ndarray) -> np.ndarray:
     """Powers of an odd number by place in the word; long words go on in steps of 4,096."""
     low = _PLACES[at & 4095]
     if at.size and at.max() >= 4096:
-        low = low * mixed((at >> 12).astype(np.uint64) + np.uint64(1)) | np.uint64(1)
+        later = (low * mixed((at >> 12).astype(np.uint64))) | np.uint64(1)
+        low = np.where(at < 4096, low, later)
     return low
 
 
