@@ -44,9 +44,12 @@ INPUT = 16
 VOCABULARY = 1022
 CLASSES = 32
 STEPS = 32
-LANES = 256
-#: Documents scored side by side.
-SCORE_LANES = 1024
+LANES = 512
+#: Longer documents are trained on in parts of so many words, each with a new state.
+PART = 1024
+#: Documents scored side by side, and words at a time.
+SCORE_LANES = 512
+SCORE_STEPS = 128
 RATE = 0.03
 ROUNDS = 2
 #: Most words whose counts go to every task; the rest meet the texts by a join.
@@ -233,7 +236,8 @@ def train_on(net: Network, texts: list[np.ndarray], squares: dict[str, np.ndarra
     """One pass of truncated back-propagation over documents (ids, the end included)."""
     if not texts:
         return 0.0
-    ids, fresh = _streams(texts, min(LANES, len(texts)))
+    parts = [t[i : i + PART] for t in texts for i in range(0, t.size, PART)]
+    ids, fresh = _streams(parts, min(LANES, len(parts)))
     state = np.zeros((ids.shape[1], HIDDEN), np.float32)
     before = np.zeros(ids.shape[1], np.int64)
     total = 0.0
@@ -282,9 +286,9 @@ def score_documents(net: Network, texts: list[np.ndarray]) -> np.ndarray:
         state = np.zeros((len(here), HIDDEN), np.float32)
         before = np.zeros(len(here), np.int64)
         sums = np.zeros(len(here))
-        for start in range(0, int(sizes[0]), STEPS):
+        for start in range(0, int(sizes[0]), SCORE_STEPS):
             lanes = int(np.searchsorted(-sizes, -start))  # those longer than start
-            steps = min(STEPS, int(sizes[0]) - start)
+            steps = min(SCORE_STEPS, int(sizes[0]) - start)
             targets = np.full((steps, lanes), -1, np.int64)
             for k in range(lanes):
                 part = texts[here[k]][start : start + steps]
