@@ -48,12 +48,25 @@ PLACED = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_toke
 _MARK = "<|startoftext|>"
 
 
+#: Signs that the vocabulary's splitting parts from the letters before them.
+_ENDS = b".,!?;:&#$%*"
+
+
+def _plain_letters(word: bytes) -> bool:
+    """Whether a word is of Latin letters (below U+0250) alone.
+
+    All but one of these stay letters in lower case.
+    """
+    text = word.decode()
+    return text.isalpha() and max(text) < "\u0250" and "\u0130" not in text
+
+
 class Encoder:
     """Ids of texts; words met before are looked up.
 
     The vocabulary's own splitting never joins what white space separates, nor letters
-    and a full stop or comma after them, and it lower-cases letters; so a text's ids are
-    those of its words one after the other, and ``word,`` has the ids of both its parts.
+    and the signs after them, and it lower-cases letters; so a text's ids are those of
+    its words one after the other, and ``word,`` has the ids of both its parts.
     """
 
     def __init__(self, path: str | None = None) -> None:
@@ -100,16 +113,20 @@ class Encoder:
 
     def _learn(self, words: list[list[bytes]]) -> None:
         new = set().union(*words) - self._known.keys()
-        pairs = [w for w in new if w[-1:] in (b".", b",") and w[:-1].isalpha()]
-        new.difference_update(pairs)
-        new.update({w[:-1] for w in pairs} | {w[-1:] for w in pairs})
+        ended = []
+        for w in new:
+            core = w.rstrip(_ENDS)
+            if core and len(core) < len(w) and (core.isalpha() or _plain_letters(core)):
+                ended.append((w, core, w[len(core) :]))
+        new.difference_update([w for w, _, _ in ended])
+        new.update([core for _, core, _ in ended], [end for _, _, end in ended])
         new -= self._known.keys()
         if new:
-            self._encode_words(sorted(new))
-        if pairs:
-            at = np.fromiter((self._known[x] for w in pairs for x in (w[:-1], w[-1:])), np.int64, 2 * len(pairs))
+            self._encode_words(list(new))
+        if ended:
+            at = np.fromiter((self._known[x] for _, core, end in ended for x in (core, end)), np.int64, 2 * len(ended))
             flat, size = self._gather(at)
-            self._add(pairs, size.reshape(-1, 2).sum(1), flat)
+            self._add([w for w, _, _ in ended], size.reshape(-1, 2).sum(1), flat)
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         if len(self._known) > _KNOWN_WORDS:
