@@ -208,7 +208,8 @@ def judge(
 def keep_good(docs: DataFrame, **limits) -> DataFrame:
     """The rows that ``judge`` keeps, with the columns they had."""
     names = docs.columns
-    plain = docs.select(
-        F.col("text"), F.col("lang"), F.struct(*[F.col(f"`{n}`") for n in names]).alias("__row_")
-    ).withColumnRenamed("__row_", "row")
-    return judge(plain, **limits).where("kept").select(*[F.col("row").getField(n).alias(n) for n in names])
+    plain = docs.select("text", "lang", F.struct(*[F.col(f"`{n}`") for n in names]).alias("row"))
+    # A filter is pushed below columns that are all determined by the row, and would there
+    # repeat the whole chain that makes ``kept``. The running number keeps it above.
+    judged = judge(plain, **limits).select("row", "kept", F.monotonically_increasing_id().alias("once"))
+    return judged.where("kept and once >= 0").select(*[F.col("row").getField(n).alias(n) for n in names])
