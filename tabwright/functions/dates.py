@@ -39,11 +39,16 @@ def yyyymmdd(value: Column, dtype: T.DataType) -> Column:
 
 
 def calendar_date(value: Column, dtype: T.DataType) -> Column:
-    """A date out of YYYYMMDD (number or text), ISO text, date or timestamp; else NULL."""
+    """A date out of YYYYMMDD (number or text), text with dashes, slashes or dots between
+    year, month and day, date or timestamp; else NULL."""
     if isinstance(dtype, TIMES):
         return value.cast("date")
     number = isinstance(dtype, NUMBERS)
     text = (_eight_digits(value) if number else value).cast("string")
+    if not number:
+        # 2024/01/06 and 2024.01.06 as 2024-01-06, 20240106.0 as 20240106.
+        text = F.regexp_replace(text, r"^(\d{4})[/.](\d{1,2})[/.](\d{1,2})$", "$1-$2-$3")
+        text = F.regexp_replace(text, r"^(\d{8})\.0+$", "$1")
     dashed = F.concat_ws(
         "-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2)
     )

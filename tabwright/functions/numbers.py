@@ -43,7 +43,10 @@ def whole_text(value: Column, dtype: T.DataType, fraction: str = "raise") -> Col
             other = number_text(value, dtype)
         else:
             other = F.raise_error(F.lit("code with a fraction")).cast("string")
-        return F.when(F.rint(value) != value, other).otherwise(clean.cast("bigint").cast("string"))
+        whole = F.when(F.abs(value) < F.lit(9.2e18), clean.cast("bigint").cast("string"))
+        return F.when(F.rint(value) != value, other).otherwise(
+            F.coalesce(whole, number_text(value, dtype))
+        )
     if isinstance(dtype, T.BooleanType):
         return F.initcap(value.cast("string"))
     return value.cast("string")

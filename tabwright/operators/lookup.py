@@ -70,6 +70,10 @@ def code_mapping_report(
     The distinct codes are counted first, so each is looked up once per task.
     """
     found = {n: m for n, m in _all_maps(maps).items() if n in df.columns}
+    if not found:
+        return df.sparkSession.createDataFrame(
+            [], "column string, mapped bigint, total bigint, ratio double"
+        )
     values = df.select(
         F.inline(
             F.array(
@@ -160,6 +164,8 @@ def period_totals(
 ) -> DataFrame:
     """Rows and sums of the amounts per period."""
     bucketed = period_bucket(df, column, level)
+    if "period" not in bucketed.columns:
+        raise ValueError(f"no periods of level {level!r} from column {column!r}")
     return bucketed.groupBy("period").agg(
         F.count(F.lit(1)).alias("rows"),
         *[F.sum(c(a)).alias(a) for a in present(df, amounts)],

@@ -44,7 +44,7 @@ def number_rows(
     return (
         ranged.withColumn(name, place)
         .join(shift, "__r")
-        .withColumn(name, F.col(name) + F.col("__before"))
+        .withColumn(name, (F.col(name) + F.col("__before")).cast("int"))
         .select(*[c(n) for n in df.columns], name)
     )
 

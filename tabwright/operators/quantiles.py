@@ -133,6 +133,9 @@ def _bracketed(
         position = F.lit(float(p)) * (F.col("n") - 1)
         low, high, part = F.col(f"__lo{i}"), F.col(f"__hi{i}"), position - F.floor(position)
         out.append(
-            F.when(part == 0, low).otherwise((1 - part) * low + part * high).alias(name)
+            # Equal neighbours are the quantile itself; weighting them could miss it by a bit.
+            F.when((part == 0) | (low == high), low)
+            .otherwise((1 - part) * low + part * high)
+            .alias(name)
         )
     return found.select(*keys, "n", *out)

@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tabwright.functions.columns import c, is_float, order_struct, present, require
+from tabwright.functions.columns import c, is_float, missing, order_struct, present, require, type_of
 from tabwright.sources.shared import settle
 
 Rule = Mapping[str, Any]
@@ -80,16 +80,16 @@ def range_filter(
     return df
 
 
-def _condition(rule: Rule) -> Column | None:
-    """The rows a rule keeps; None when the operator is not known."""
+def _condition(df: DataFrame, rule: Rule) -> Column | None:
+    """The rows a rule keeps; None when the operator is not known. NaN is missing."""
     name, operator, value = rule["column"], rule.get("operator", "=="), rule.get("value")
-    col = c(name)
+    col = F.nanvl(c(name), F.lit(None).cast(type_of(df, name))) if is_float(df, name) else c(name)
     if operator == "isin":
         return _one_of(name, list(value))
     if operator == "not_null":
-        return col.isNotNull()
+        return ~missing(df, name)
     if operator == "is_null":
-        return col.isNull()
+        return missing(df, name)
     return {
         "==": col == F.lit(value),
         "!=": col.isNull() | (col != F.lit(value)) if value is not None else F.lit(True),
@@ -104,7 +104,7 @@ def _conditions(df: DataFrame, rules: Iterable[Rule]) -> list[tuple[Rule, Column
     found = []
     for rule in rules:
         if rule.get("column") in df.columns:
-            test = _condition(rule)
+            test = _condition(df, rule)
             found.append((rule, F.lit(True) if test is None else test))
     return found
 
@@ -113,7 +113,8 @@ def row_filters(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     """Apply ``column operator value`` rules in order.
 
     Operators: ``== != > < >= <= isin not_null is_null``. ``!=`` keeps NULL, the other
-    comparisons drop it. Rules on columns that do not exist do nothing.
+    comparisons drop it, and NaN counts as NULL. Rules on columns that do not exist do
+    nothing.
     """
     for _, test in _conditions(df, rules):
         df = df.where(test)
@@ -132,6 +133,12 @@ def _left_over(tests: Sequence[Column]) -> list[Column]:
     ]
 
 
+_REPORT = (
+    "step int, column string, operator string, value string, "
+    "rows_before bigint, rows_after bigint, rows_removed bigint"
+)
+
+
 def row_filter_report(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     """One row per rule: rows before, rows after, rows removed - in one pass over ``df``."""
     found = _conditions(df, rules)
@@ -148,6 +155,8 @@ def row_filter_report(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
         )
         for i, (rule, _) in enumerate(found)
     ]
+    if not steps:
+        return df.sparkSession.createDataFrame([], _REPORT)
     return counts.select(F.inline(F.array(*steps)))
 
 
@@ -256,7 +265,10 @@ def dedup_by_key(
     keep: str = "first",
     order_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The first or last row of each key, in the given order (all columns by default).
+    """The first or last row of each key, in the given order.
+
+    Rows that tie in ``order_by`` are ordered by the other columns, so the choice does not
+    depend on how rows are partitioned.
 
     Written as a minimum over ``(order, row)`` and not as a window, so that each task
     reduces a key to one row before the shuffle: a key that holds a third of all rows
@@ -266,7 +278,8 @@ def dedup_by_key(
         return dedup_rows(df)
     key = present(df, key)
     names = df.columns
-    order = order_struct(order_by or names)
+    first = list(order_by or [])
+    order = order_struct([*first, *[n for n in names if n not in first]])
     pick = {"first": F.min_by, "last": F.max_by}[keep]
     best = df.groupBy(*[c(k) for k in key]).agg(
         pick(F.struct(*[c(n) for n in names]), order).alias("row")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,22 +63,28 @@ def tokenize_text(
     )
     names = [f.name for f in kept]
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Only the text becomes Python values; the other columns stay what they are.
         encoder = make_encoder()
         for batch in batches:
-            found = [list(row) for row in encoder(batch[text].fillna("").tolist())]
+            texts = [value or "" for value in batch.column(text).to_pylist()]
+            found = [list(row) for row in encoder(texts)]
             short = [row[:max_length] if max_length else row for row in found]
             gap = [max(0, max_length - len(r)) if pad_to_max and max_length else 0 for r in short]
-            out = batch[names].copy()
-            out["input_ids"] = [r + [pad_id] * g for r, g in zip(short, gap, strict=True)]
-            out["attention_mask"] = [
-                [1] * len(r) + [0] * g for r, g in zip(short, gap, strict=True)
-            ]
-            out["length"] = [len(r) + g for r, g in zip(short, gap, strict=True)]
-            out["raw_length"] = [len(r) for r in found]
-            yield out
-
-    return df.mapInPandas(encode, schema)
+            both = list(zip(short, gap, strict=True))
+            new = {
+                "input_ids": pa.array([r + [pad_id] * g for r, g in both], pa.list_(pa.int32())),
+                "attention_mask": pa.array(
+                    [[1] * len(r) + [0] * g for r, g in both], pa.list_(pa.int32())
+                ),
+                "length": pa.array([len(r) + g for r, g in both], pa.int32()),
+                "raw_length": pa.array([len(r) for r in found], pa.int32()),
+            }
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(n) for n in names], *new.values()], [*names, *new]
+            )
+
+    return df.mapInArrow(encode, schema)
 
 
 def _lengths(df: DataFrame, names: Sequence[str], by: str | None = None) -> DataFrame:

@@ -42,6 +42,10 @@ def date_rejects(
     The samples are the first distinct runs in text order.
     """
     names = _named(df, "date") if columns is None else present(df, columns)
+    if not names:
+        return df.sparkSession.createDataFrame(
+            [], "column string, rejected bigint, samples array<string>"
+        )
     runs = df.select(
         F.inline(
             F.array(

@@ -71,7 +71,7 @@ def table_fingerprint(df: DataFrame) -> DataFrame:
 
 def _manifest(spark: SparkSession, path: str) -> dict | None:
     try:
-        rows = spark.read.text(f"{path}/manifest").take(1)
+        rows = spark.read.text(f"{path}/manifest").orderBy(F.desc("at")).take(1)
     except AnalysisException:
         return None
     return json.loads(rows[0].value) if rows else None
@@ -86,32 +86,32 @@ def materialize_once(
 ) -> tuple[DataFrame, bool]:
     """Write ``df`` to ``path`` unless the same rows from the same source are there.
 
-    Returns the written table and whether it was written now. Data goes to a new
-    folder first and the manifest last, so a run that dies half-way leaves the earlier
-    copy valid. The manifest also holds the number of classes of ``label``.
+    Returns the written table and whether it was written now. Rows with other column
+    names or types, or another ``label``, are not the same. Data goes to a new folder
+    first and then a new manifest next to the old ones, of which the newest counts, so a
+    run that dies half-way leaves the earlier copy valid. The manifest also holds the
+    number of classes of ``label``.
     """
     spark = df.sparkSession
     path = path.rstrip("/")
     now = table_fingerprint(df).first()
     before = _manifest(spark, path)
-    if before and (before["fingerprint"], before["rows"], before["source"]) == (
-        now["fingerprint"], now["rows"], source,
-    ):
+    schema = df.schema.jsonValue()
+    same = ("fingerprint", "rows", "source", "schema", "label")
+    found = {"fingerprint": now["fingerprint"], "rows": now["rows"], "source": source, "schema": schema, "label": label}
+    if before and all(before.get(k) == found[k] for k in same):
         return spark.read.parquet(before["data"]), False
     data = f"{path}/data-{time.time_ns()}"
     df.write.option("maxRecordsPerFile", rows_per_file).option("compression", "zstd").parquet(data)
     written = spark.read.parquet(data)
     classes = written.select(label).distinct().count() if label else None
     manifest = {
-        "fingerprint": now["fingerprint"],
-        "rows": now["rows"],
-        "source": source,
+        **found,
         "data": data,
         "num_classes": classes,
     }
-    text_rows(spark, manifest).coalesce(
-        1
-    ).write.mode("overwrite").text(f"{path}/manifest")
+    # A folder of its own: the earlier manifest stays until this one is complete.
+    text_rows(spark, manifest).coalesce(1).write.text(f"{path}/manifest/at={time.time_ns()}")
     return written, True
 
 
