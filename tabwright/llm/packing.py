@@ -23,6 +23,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import partial
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -111,8 +112,7 @@ class Encoder:
         total = int(ends[-1]) if ends.size else 0
         return self._flat[np.arange(total) + np.repeat(first - (ends - size), size)], size
 
-    def _learn(self, words: list[list[bytes]]) -> None:
-        new = set().union(*words) - self._known.keys()
+    def _learn(self, new: set[bytes]) -> None:
         ended = []
         for w in new:
             core = w.rstrip(_ENDS)
@@ -132,13 +132,18 @@ class Encoder:
         if len(self._known) > _KNOWN_WORDS:
             self._forget()
         words = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        self._learn(words)
-        known = self._known
-        out = []
-        for each in words:
-            ids, _ = self._gather(np.fromiter(map(known.__getitem__, each), np.int64, len(each)))
-            out.append(np.append(ids, np.uint32(END)))
-        return out
+        every = list(chain.from_iterable(words))
+        at = np.fromiter(map(self._known.get, every, repeat(-1)), np.int64, len(every))
+        missed = np.flatnonzero(at < 0)
+        if missed.size:
+            missing = [every[i] for i in missed.tolist()]
+            self._learn(set(missing))
+            at[missed] = np.fromiter(map(self._known.__getitem__, missing), np.int64, len(missing))
+        ids, size = self._gather(at)
+        # Ids up to the end of each text, where the end id goes in.
+        upto = np.concatenate(([0], np.cumsum(size)))[np.cumsum([len(w) for w in words])]
+        ids = np.insert(ids, upto, np.uint32(END))
+        return np.split(ids, (upto + np.arange(1, len(words) + 1))[:-1])
 
 
 _ENCODERS: dict[str | None, Encoder] = {}
