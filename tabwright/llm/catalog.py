@@ -70,6 +70,70 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _op6_sql() -> str:
+    """The rules, histograms and distances of ``quality_rules`` for DuckDB."""
+    rest = ["coalesce(text, '')"]
+    for pattern in quality_rules.CLASSES:
+        pattern = pattern.replace("'", "''")
+        rest.append(f"regexp_replace({rest[-1]}, '{pattern}', '', 'g')")
+    sizes = [f"length({r})" for r in rest]
+    classes = ", ".join([f"{a} - {b}" for a, b in zip(sizes, sizes[1:], strict=False)] + [sizes[-1]])
+    lists = " ".join(
+        f"WHEN '{lang}' THEN [{', '.join(repr(w) for w in words)}]" for lang, words in quality_rules.COMMON_WORDS.items()
+    )
+    blank = "[^\\x20\\x09-\\x0D]"
+    return f"""
+WITH d AS (
+  SELECT doc_id, lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{blank}+') AS w,
+    [{classes}] AS classes, CASE lang {lists} END AS listed
+  FROM documents
+), h AS (
+  SELECT *, [list_position(listed, lower(x)) FOR x IN w] AS places FROM d
+), c AS (
+  SELECT *, [len(list_filter(places, lambda p: p = i)) FOR i IN range(1, 13)]
+    || [len(list_filter(places, lambda p: coalesce(p, 0) = 0))] AS common
+  FROM h
+), cells AS (
+  SELECT doc_id, lang, listed IS NOT NULL AS has_list, 0 AS kind, unnest(range(8)) AS i, unnest(classes) AS n FROM c
+  UNION ALL
+  SELECT doc_id, lang, listed IS NOT NULL, 1, unnest(range(13)), unnest(common) FROM c
+), refs AS (
+  SELECT lang, kind, i, sum(n) AS n FROM cells WHERE lang IS NOT NULL GROUP BY ALL
+), shares AS (
+  SELECT c.doc_id, c.kind, c.n / nullif(sum(c.n) OVER (PARTITION BY c.doc_id, c.kind), 0) AS p,
+    r.n / sum(r.n) OVER (PARTITION BY c.doc_id, c.kind) AS q
+  FROM cells c JOIN refs r ON c.lang = r.lang AND c.kind = r.kind AND c.i = r.i
+), distances AS (
+  SELECT doc_id, kind, sqrt(greatest(sum((CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END
+    + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2), 0)) AS far
+  FROM shares GROUP BY doc_id, kind
+), windows AS (
+  SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS pos FROM d
+), again AS (
+  SELECT doc_id, pos, count(*) OVER (PARTITION BY doc_id, w[pos], w[pos + 1], w[pos + 2]) AS times FROM windows
+), repeats AS (
+  SELECT doc_id, count(DISTINCT pos + k) AS n FROM again, (SELECT unnest(range(3)) AS k) WHERE times > 1 GROUP BY doc_id
+), counts AS (
+  SELECT c.doc_id, len(w)::BIGINT AS n_words, (length(t) - classes[3])::BIGINT AS word_chars,
+    classes[6]::BIGINT AS n_symbols,
+    (len([x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, '{blank}')])
+      - len(list_distinct([x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, '{blank}')])))::BIGINT AS n_dup_lines,
+    coalesce(r.n, 0)::BIGINT AS n_repeat_words, length(t) AS size, listed IS NOT NULL AS has_list
+  FROM c LEFT JOIN repeats r ON c.doc_id = r.doc_id
+), judged AS (
+  SELECT *, n_words < {quality_rules.LEAST_WORDS} OR 100 * n_repeat_words > {quality_rules.MOST_REPEATED} * n_words AS base_failed
+  FROM counts
+)
+SELECT j.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed
+    AND coalesce(size < {quality_rules.CHARACTER_GUARD} OR a.far <= {quality_rules.CHARACTER_DISTANCE}, true)
+    AND coalesce(NOT has_list OR n_words < {quality_rules.WORD_GUARD} OR b.far <= {quality_rules.WORD_DISTANCE}, true) AS kept
+FROM judged j
+LEFT JOIN distances a ON j.doc_id = a.doc_id AND a.kind = 0
+LEFT JOIN distances b ON j.doc_id = b.doc_id AND b.kind = 1
+"""
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """What a mix of all sources takes of each document."""
     return mixing.mix(documents(spark, folder)).select("doc_id", "size", "source_size", "target", "taken")
@@ -94,4 +158,4 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_dedup, op2_near_duplicates, op3_language_model, op5_packing, op6_quality_rules, op7_mixing, op8_fingerprints, op9_language_id, op10_sharding)}
-SQL: dict[str, str] = {"op2_near_duplicates": OP2_SQL}
+SQL: dict[str, str] = {"op2_near_duplicates": OP2_SQL, "op6_quality_rules": _op6_sql()}

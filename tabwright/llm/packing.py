@@ -40,7 +40,7 @@ GROUP = 50_000
 #: One rest in so many may be cut.
 CUTTABLE = 8
 _SEED = 5
-_KNOWN_WORDS = 1_000_000
+_KNOWN_WORDS = 700_000
 PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, ids binary, part bigint"
 PLACED = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
