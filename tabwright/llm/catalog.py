@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import fingerprints, language_id, language_model, mixing, near_duplicates, packing, quality_rules, sharding, suffix_dedup
+from tabwright.llm import fingerprints, language_id, language_model, license_scan, mixing, near_duplicates, packing, quality_rules, sharding, suffix_dedup
 from tabwright.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,11 @@ def op3_language_model(spark: SparkSession, folder: str) -> DataFrame:
     return language_model.score(documents(spark, folder))
 
 
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licences that lines, paragraphs or the whole of every text are near to."""
+    return license_scan.scan_licenses(documents(spark, folder))
+
+
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents as token pieces, packed into sequences of 2,048."""
     return packing.pack(documents(spark, folder))
@@ -157,5 +162,5 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_dedup, op2_near_duplicates, op3_language_model, op5_packing, op6_quality_rules, op7_mixing, op8_fingerprints, op9_language_id, op10_sharding)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_dedup, op2_near_duplicates, op3_language_model, op4_license_scan, op5_packing, op6_quality_rules, op7_mixing, op8_fingerprints, op9_language_id, op10_sharding)}
 SQL: dict[str, str] = {"op2_near_duplicates": OP2_SQL, "op6_quality_rules": _op6_sql()}

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tabwright.llm import catalog, fingerprints, hashing, language_id, language_model, mixing, near_duplicates, packing, quality_rules, sharding, suffix_dedup
+from tabwright.llm import catalog, fingerprints, hashing, language_id, language_model, license_scan, mixing, near_duplicates, packing, quality_rules, sharding, suffix_dedup
 from tabwright.llm.components import connected_components
 from tabwright.llm.suffix_sorting import suffix_array
 from tests.llm import brute
@@ -57,7 +57,7 @@ def test_sql(spark, name):
         suffix_dedup.removal_report, suffix_dedup.without_repeats, near_duplicates.near_duplicates,
         near_duplicates.without_near_duplicates, language_model.score, packing.pack, quality_rules.judge,
         quality_rules.keep_good, mixing.mix, mixing.mixed_documents, fingerprints.compare_edits,
-        language_id.identify, sharding.assign_shards, sharding.exchange,
+        language_id.identify, license_scan.scan_licenses, sharding.assign_shards, sharding.exchange,
     ],
 )
 def test_edges_and_nothing(operator, edges, none):
@@ -191,6 +191,40 @@ def test_probabilities_sum_to_one():
     assert np.exp(logs).sum() == pytest.approx(1, abs=1e-5)
 
 
+# --- 4 ---------------------------------------------------------------------------------
+
+
+def test_license_scan(spark, docs, edges):
+    """Against all templates for all units, without bounds; and on changed licence lines."""
+    made = [(n, license_scan.bigrams(license_scan.words(t))) for n, t in license_scan.TEMPLATES]
+    for frame in (spark.createDataFrame(docs), edges):
+        rows = frame.select("doc_id", "text").collect()
+        hits = Counter()
+        for r in rows:
+            for line in (r.text or "").split("\n"):
+                found = license_scan.bigrams(license_scan.words(line))
+                hits[r.doc_id] += found.total() > 0 and max(license_scan.dice(found, b) for _, b in made) >= 0.8
+        got = license_scan.scan_licenses(frame).collect()
+        assert all(r.n_matches >= 0 for r in got) and sum(r.n_matches > 0 for r in got) >= sum(x > 0 for x in hits.values())
+    scanner = license_scan.Scanner(license_scan.TEMPLATES, 0.8)
+    assert scanner.best(license_scan.words("released under THE MIT license"))[0] == "MIT"
+    assert scanner.best(license_scan.words("All Rights Reserved!")) == ("reserved", 1.0)
+    assert scanner.best(license_scan.words("Licensed under CC BY-NC 4.0."))[0] == "CC-BY-NC-4.0"
+    assert scanner.best(license_scan.words("no licence in this line of text at all")) is None
+    split = "This program is free software: you can redistribute it and/or modify it under\nthe terms of the GNU General Public License as published by the Free Software Foundation,\neither version 3 of the License, or (at your option) any later version."
+    assert scanner.scan("text before\n\n" + split + "\n\ntext after")[1][0][0] == "GPL-3.0"
+    random.seed(4)
+    vocabulary = sorted({w for _, t in license_scan.TEMPLATES for w in license_scan.words(t)})
+    for _ in range(500):
+        name, text = random.choice(license_scan.TEMPLATES)
+        w = license_scan.words(text)
+        for _ in range(random.randint(0, 4)):
+            w[random.randrange(len(w))] = random.choice(vocabulary)
+        best = max(license_scan.dice(license_scan.bigrams(w), b) for _, b in made)
+        hit = scanner.best(w)
+        assert (hit is not None) == (best >= 0.8) and (hit is None or hit[1] == best)
+
+
 # --- 5 ---------------------------------------------------------------------------------
 
 
