@@ -189,8 +189,13 @@ def judge(
                 F.col("__list").isNotNull() & (F.col("n_words") >= word_guard),
                 jensen_shannon(F.col("__common"), F.col("__ref_common")),
             ),
-            "base_failed": (F.col("n_words") < LEAST_WORDS)
-            | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")),
+            # A filter on this is pushed below columns that are all determined by the row,
+            # and would there repeat the chain that makes them; the number keeps it above.
+            "base_failed": (
+                (F.col("n_words") < LEAST_WORDS)
+                | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
+            )
+            & (F.monotonically_increasing_id() >= 0),
         }
     )
     near = reduce(
