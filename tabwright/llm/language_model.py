@@ -49,7 +49,7 @@ LANES = 512
 PART = 1024
 #: Documents scored side by side, and words at a time.
 SCORE_LANES = 512
-SCORE_STEPS = 128
+SCORE_STEPS = 64
 RATE = 0.03
 ROUNDS = 2
 #: Most words whose counts go to every task; the rest meet the texts by a join.
@@ -416,7 +416,15 @@ def score(docs: DataFrame, held_out: Column | None = None, vocabulary: int = VOC
     training = marked.where("not held_out")
     counts = settle(word_counts(training))
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    top = counts.where("word <> ''").orderBy(F.desc("n"), "word").limit(sent_words).collect()
+    # The least count of which, with all above, no more than sent_words words are.
+    fits, least = 0, None
+    for row in sorted(counts.where("word <> ''").groupBy("n").count().collect(), reverse=True):
+        fits += row["count"]
+        if fits > sent_words:
+            break
+        least = row["n"]
+    top = counts.where("word <> ''").where(F.col("n") >= least).collect() if least else []
+    top.sort(key=lambda r: (-r["n"], r["word"]))
     ends = counts.where("word = ''").first()
     words, sizes = [r["word"].encode() for r in top], np.array([r["n"] for r in top], np.int64)
     end = ends["n"] if ends else 0
