@@ -4,7 +4,8 @@ Two histograms per document, one over classes of characters and one over the com
 words of its language, are compared with the same histograms summed over all documents
 of that language. The measure is the Jensen-Shannon distance (square root of the
 divergence to base 2, 0 to 1). Short documents have noisy histograms, so each comparison
-has a least length below which it says nothing. All of it is made of built-in functions
+has a least length below which it says nothing; the limit of word distances relative to
+the language, which ``keep_good`` goes by, widens for short documents instead. All of it is made of built-in functions
 row by row; the only shuffle carries one row per language and task.
 
 Defined cases: NULL and blank texts have no words and fail the plain rule; documents
@@ -38,6 +39,10 @@ CHARACTER_GUARD = 200
 CHARACTER_DISTANCE = 0.35
 WORD_GUARD = 150
 WORD_DISTANCE = 0.6
+#: The limit of word distances that ``keep_good`` goes by: a share of the distance of a text
+#: with none of the language's common words, and what chance adds over the root of the words.
+WORD_SHARE = 0.4
+WORD_NOISE = 1.25
 
 
 def _class_counts(df: DataFrame) -> DataFrame:
@@ -64,7 +69,9 @@ def _word_counts(df: DataFrame, common: Mapping[str, Sequence[str]]) -> DataFram
     out = df.withColumn("__list", lists).withColumn(
         "__found", F.when(F.col("__list").isNull(), F.array().cast("array<bigint>")).otherwise(found)
     )
-    each = [F.size(F.filter("__found", lambda i, k=k: i == k)).cast("bigint") for k in range(1, most + 1)]
+    # A second parameter of the function would be given the place in the array.
+    equals = lambda k: lambda i: i == k
+    each = [F.size(F.filter("__found", equals(k))).cast("bigint") for k in range(1, most + 1)]
     other = (F.size("__words") - F.size("__found")).cast("bigint")
     return out.withColumn("__common", F.array(*each, other)).drop("__found")
 
@@ -81,6 +88,11 @@ def jensen_shannon(left: Column, right: Column) -> Column:
     return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda s, x: s + x), F.lit(0.0)))
 
 
+def _none_common(counts: str) -> Column:
+    """The word counts of a text with none of the listed words."""
+    return F.transform(counts, lambda x, i: F.when(i == F.size(counts) - 1, 1).otherwise(0).cast("bigint"))
+
+
 def _repeated_words(windows: str) -> Column:
     """Words inside windows found twice or more, from the array of a text's windows."""
     placed = F.sort_array(F.transform(windows, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
@@ -161,6 +173,8 @@ def judge(
     character_distance: float = CHARACTER_DISTANCE,
     word_guard: int = WORD_GUARD,
     word_distance: float = WORD_DISTANCE,
+    word_share: float | None = None,
+    word_noise: float = WORD_NOISE,
 ) -> DataFrame:
     """Every row of ``docs`` (``text``, ``lang``) with counts, distances and ``kept``.
 
@@ -168,11 +182,17 @@ def judge(
     number of words, from which the distance of that kind counts. A document is kept if
     the plain rule (``base_failed``) holds nothing against it and neither distance is
     above its limit.
+
+    With ``word_share`` the word distance counts at every length, and its limit is that
+    share of the distance a text without any common word has in that language, plus
+    ``word_noise`` over the root of the number of words; ``word_guard`` and
+    ``word_distance`` then say nothing.
     """
     references = language_references(docs, common)
     # Few languages have few rows: the known ones are met by name, the rest by NULL.
     known = references.where(F.col("reference").isNotNull()).select(
-        F.col("reference").alias("__reference"), F.col("classes").alias("__ref_classes"), F.col("common").alias("__ref_common")
+        F.col("reference").alias("__reference"), F.col("classes").alias("__ref_classes"), F.col("common").alias("__ref_common"),
+        jensen_shannon(_none_common("common"), F.col("common")).alias("__without"),
     )
     whole = references.where(F.col("reference").isNull()).select(F.col("classes").alias("__all_classes")).first()
     everything = (
@@ -186,7 +206,7 @@ def judge(
                 jensen_shannon(F.col("__classes"), F.coalesce("__ref_classes", everything)),
             ),
             "word_distance": F.when(
-                F.col("__list").isNotNull() & (F.col("n_words") >= word_guard),
+                F.col("__list").isNotNull() & (F.col("n_words") >= (word_guard if word_share is None else 1)),
                 jensen_shannon(F.col("__common"), F.col("__ref_common")),
             ),
             # A filter on this is pushed below columns that are all determined by the row,
@@ -198,11 +218,16 @@ def judge(
             & (F.monotonically_increasing_id() >= 0),
         }
     )
+    word_limit = (
+        F.lit(word_distance)
+        if word_share is None
+        else word_share * F.col("__without") + word_noise / F.sqrt(F.col("n_words"))
+    )
     near = reduce(
         lambda a, b: a & b,
         [
             F.coalesce(F.col("character_distance") <= character_distance, F.lit(True)),
-            F.coalesce(F.col("word_distance") <= word_distance, F.lit(True)),
+            F.coalesce(F.col("word_distance") <= word_limit, F.lit(True)),
         ],
     )
     return judged.withColumn("kept", ~F.col("base_failed") & near).drop(
@@ -210,11 +235,11 @@ def judge(
     )
 
 
-def keep_good(docs: DataFrame, **limits) -> DataFrame:
-    """The rows that ``judge`` keeps, with the columns they had."""
+def keep_good(docs: DataFrame, word_share: float | None = WORD_SHARE, **limits) -> DataFrame:
+    """The rows that ``judge`` keeps by the limit relative to its language, with the columns they had."""
     names = docs.columns
     plain = docs.select("text", "lang", F.struct(*[F.col(f"`{n}`") for n in names]).alias("row"))
     # A filter is pushed below columns that are all determined by the row, and would there
     # repeat the whole chain that makes ``kept``. The running number keeps it above.
-    judged = judge(plain, **limits).select("row", "kept", F.monotonically_increasing_id().alias("once"))
+    judged = judge(plain, word_share=word_share, **limits).select("row", "kept", F.monotonically_increasing_id().alias("once"))
     return judged.where("kept and once >= 0").select(*[F.col("row").getField(n).alias(n) for n in names])

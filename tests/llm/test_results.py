@@ -306,6 +306,39 @@ def test_good_documents_stay(spark):
     assert shares[1] == 1 and shares[0] < 0.6
 
 
+def test_each_common_word_is_counted(spark):
+    frame = spark.createDataFrame([("the OF the cat and the", "en"), ("der x die der", "de"), ("the", None)], "text string, lang string")
+    got = {r["reference"]: r["common"] for r in quality_rules.language_references(frame).collect()}
+    assert got["en"] == [3, 1, 1] + [0] * 9 + [1] and got["de"] == [2, 1] + [0] * 10 + [1]
+
+
+@pytest.mark.parametrize("size", [50, 90, 400, 3000])
+def test_texts_without_common_words_go(spark, size):
+    """At every length the plain rule lets through; of texts with their share of them, at most one by chance."""
+    chance = random.Random(6)
+    # The listed words' shares of all words are about those in the tables, 18 % together.
+    shares = {lang: [0.05, 0.027, 0.021, 0.015, 0.012, 0.011, 0.01, 0.008, 0.007, 0.006, 0.006, 0.005] for lang in quality_rules.COMMON_WORDS}
+
+    def text(lang, n, common):
+        rest = [f"word{chance.randrange(10**6)}x" for _ in range(n)]
+        return " ".join(chance.choices([*quality_rules.COMMON_WORDS[lang], None], [*shares[lang], 1 - sum(shares[lang])])[0] or w if common else w for w in rest)
+
+    rows = [(k, lang, text(lang, max(size, 100), True)) for lang in shares for k in range(40)]
+    rows += [(100 + k, lang, text(lang, size, False)) for lang in shares for k in range(2)]
+    frame = spark.createDataFrame(rows, "doc_id int, lang string, text string")
+    kept = Counter((r.lang, r.doc_id >= 100) for r in quality_rules.keep_good(frame, character_distance=1.0).collect())
+    assert all(kept[lang, False] >= 39 and kept[lang, True] == 0 for lang in shares)
+
+
+def test_labelled_texts_by_the_relative_limit(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    plain = quality_rules.judge(docs).where("not base_failed").join(labels, "doc_id").groupBy("quality").count()
+    found = quality_rules.keep_good(docs).join(labels, "doc_id").groupBy("quality").count()
+    before, after = ({r["quality"]: r["count"] for r in x.collect()} for x in (plain, found))
+    assert after[1] == before[1] and after.get(0, 0) < 0.1 * before[0]
+
+
 # --- 7 ---------------------------------------------------------------------------------
 
 
