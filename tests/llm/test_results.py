@@ -225,6 +225,24 @@ def test_license_scan(spark, docs, edges):
         assert (hit is not None) == (best >= 0.8) and (hit is None or hit[1] == best)
 
 
+def test_real_licence_texts():
+    """Files of installed packages, whole and inside longer texts, and common notices."""
+    from importlib.metadata import distribution
+
+    scanner = license_scan.Scanner(license_scan.TEMPLATES, 0.8)
+    names = lambda text: {n for n, _ in scanner.scan(text)[1]}
+    around = " ".join(f"other{i}" for i in range(700))
+    for package, name in (("attrs", "MIT"), ("urllib3", "MIT"), ("idna", "BSD"), ("requests", "Apache-2.0")):
+        dist = distribution(package)
+        text = next(p.locate().read_text() for p in dist.files if p.name.startswith("LICENSE"))
+        assert name in names(text), package
+        assert name in names(f"{around} {' '.join(text.split())} {around}"), package
+    for text, name in (("Licensed under the MIT License.", "MIT"), ("This project is licensed under the MIT License.", "MIT"),
+                       ("Copyright 2020 Foo Inc. All rights reserved.", "reserved")):
+        assert name in names(text) and name in names(f"{around} {text} {around}")
+    assert names(around) == set()
+
+
 # --- 5 ---------------------------------------------------------------------------------
 
 
