@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import conversation_repair, fingerprints, language_id, language_model, license_scan, mixing, near_duplicates, packing, quality_rules, sharding, suffix_dedup
+from tabwright.llm import conversation_repair, fingerprints, hard_negatives, language_id, language_model, license_scan, mixing, near_duplicates, packing, quality_rules, secret_scan, sharding, suffix_dedup
 from tabwright.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,11 +162,23 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """For one vector in a hundred, the rows of other labels just below each of its best five of its own."""
+    label = F.col("label").cast("bigint")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(spark.read.parquet(f"{folder}/embeddings.parquet"), shifted, F.col("vec_id") % 100 == 0)
+
+
+def op12_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets by form and by entropy in every text, as counts, a digest and spans."""
+    return secret_scan.secret_report(documents(spark, folder))
+
+
 def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     """Cheapest edits of damaged conversations to alternating turns, and what they give."""
     conversations = spark.read.parquet(f"{folder}/conversations.parquet")
     return conversation_repair.repair_report(conversations, conversation_repair.damage(conversations))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_dedup, op2_near_duplicates, op3_language_model, op4_license_scan, op5_packing, op6_quality_rules, op7_mixing, op8_fingerprints, op9_language_id, op10_sharding, op13_conversation_repair)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_suffix_dedup, op2_near_duplicates, op3_language_model, op4_license_scan, op5_packing, op6_quality_rules, op7_mixing, op8_fingerprints, op9_language_id, op10_sharding, op11_hard_negatives, op12_secret_scan, op13_conversation_repair)}
 SQL: dict[str, str] = {"op2_near_duplicates": OP2_SQL, "op6_quality_rules": _op6_sql()}
