@@ -148,3 +148,63 @@ def _(spark, folder):
     )
     sizes = splitting.class_sizes(counts)
     return splitting.share_out(sizes.table, "o_orderpriority", 1000, sizes.rows, sizes.classes)
+
+
+# --- tables with repeated rows and no key -------------------------------------------------
+
+_REPEATED = """lines as (select l_returnflag, l_linestatus, l_linenumber,
+                '{"l_returnflag":"' || l_returnflag || '","l_linestatus":"' || l_linestatus || '","l_linenumber":'
+                || l_linenumber || '}' as row_key from lineitem)"""
+
+
+def _lines(spark, folder):
+    return table(spark, folder, "lineitem").select("l_returnflag", "l_linestatus", "l_linenumber")
+
+
+@query(
+    "sample_random_repeats",
+    f"""with {_REPEATED}, placed as (select *, row_number() over (order by {hash_order('row_key')}) as place,
+            count(*) over () as n from lines)
+        select l_returnflag, l_linestatus, l_linenumber from placed where place <= floor(n * 0.07::DOUBLE)""",
+)
+def _(spark, folder):
+    return sampling.sample_random(_lines(spark, folder), 0.07, 42)
+
+
+@query(
+    "sample_stratified_repeats",
+    f"""with {_REPEATED}, placed as (select *, count(*) over (partition by l_linenumber) as n,
+            row_number() over (partition by l_linenumber order by {hash_order('row_key')}) as place from lines)
+        select l_returnflag, l_linestatus, l_linenumber from placed where place <= round_even(n * 0.3::DOUBLE, 0)""",
+)
+def _(spark, folder):
+    return sampling.sample_stratified(_lines(spark, folder), "l_linenumber", 0.3, 42)
+
+
+@query(
+    "split_two_step_repeats",
+    f"with {_REPEATED}, "
+    + split_sql(
+        "lines", "l_returnflag", "row_key",
+        "ceil(0.13::DOUBLE * total)", "ceil(0.05::DOUBLE / 0.13::DOUBLE * outer_rows)",
+        ("train", "valid", "test"),
+    )
+    + " select l_returnflag, l_linestatus, l_linenumber, split from split",
+)
+def _(spark, folder):
+    return splitting.split_two_step(_lines(spark, folder), "l_returnflag", 0.13, 0.05, 42)
+
+
+@query(
+    "split_ratios_repeats",
+    f"""with {_REPEATED}, s as (select *, count(*) over () as n, row_number() over (order by {hash_order('row_key')}) as place from lines),
+        o as (select *, n - ceil(0.1::DOUBLE * n) as outer_rows from s)
+        select l_returnflag, l_linestatus, l_linenumber,
+          case when place <= ceil(0.15::DOUBLE / (0.75::DOUBLE + 0.15::DOUBLE) * outer_rows) then 'val'
+               when place <= outer_rows then 'train' else 'test' end as split from o""",
+)
+def _(spark, folder):
+    # No class has so many rows, so both cuts are plainly random.
+    return splitting.split_ratios(
+        _lines(spark, folder), "l_returnflag", 0.75, 0.15, 0.1, 42, min_samples_per_class=10**12
+    )

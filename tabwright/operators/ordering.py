@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tabwright.functions.columns import c
-from tabwright.functions.hashing import row_key, seeded_hash
+from tabwright.functions.hashing import row_fingerprint, row_key, seeded_hash
 from tabwright.sources.shared import settle
 
 # A task may rank this many narrow rows; more are split up first.
@@ -55,6 +57,7 @@ def number_rows(
 def _locate(counts: DataFrame, group: Sequence[str], bucket: str, quota: Column) -> DataFrame:
     """The bucket that holds the quota-th row, and how far into the bucket it lies."""
     upto = W.partitionBy(*group).orderBy(bucket)
+    kept = [n for n in ("__n", "__alike") if n in counts.columns]
     return (
         counts.withColumn("__upto", F.sum("__n").over(upto))
         .withColumn("__want", quota)
@@ -64,7 +67,7 @@ def _locate(counts: DataFrame, group: Sequence[str], bucket: str, quota: Column)
         .select(
             *group,
             F.col(bucket).alias("__bucket"),
-            "__n",
+            *kept,
             (F.col("__want") - F.col("__upto") + F.col("__n")).alias("__want"),
         )
     )
@@ -82,15 +85,16 @@ def hash_cuts(
     """Where the first ``quota`` rows of each stratum end in hash order.
 
     ``quotas`` has the strata columns, ``cut`` (a name) and ``quota`` (a row count).
-    Returns the strata columns and, named like each cut, the ``(hash, key)`` pair of the
-    last row inside it; a row is inside when its pair is not above that one. ``key``
-    must identify rows.
+    Returns the strata columns and, named like each cut, the hash ``h`` and key ``k`` of
+    the last row inside it, with how many rows have that key (``copies``) and how many of
+    them are inside (``take``).
 
     Rows are never ranked stratum by stratum. They are counted by the first hex digits
     of their hash (a count that each task does before the shuffle); the running sum over
     those few counters names the one bucket that holds the cut. Buckets that are still
-    too large for a task are counted by three more digits, and only the rows of the last
-    bucket are ranked.
+    too large for a task are counted by three more digits, unless all their rows have one
+    hash. In the last bucket the different keys are counted, so that a task never meets
+    the copies of a row one by one.
     """
     spark_key = row_key(df, key)
     group = [f"__s{i}" for i in range(len(strata))]
@@ -102,25 +106,33 @@ def hash_cuts(
         *named, F.col("cut").alias("__cut"), F.col("quota").cast("bigint").alias("__quota")
     )
     digits = 3
-    counts = base.groupBy(*group, F.substring("__h", 1, digits).alias("__b")).agg(
-        F.count(F.lit(1)).alias("__n")
-    )
+    rows = F.count(F.lit(1)).alias("__n")
+    counts = base.groupBy(*group, F.substring("__h", 1, digits).alias("__b")).agg(rows)
     spread = attach(counts, wanted, group)
     targets = settle(_locate(spread, [*group, "__cut"], "__b", F.col("__quota")))
-    while digits < 30 and targets.where(F.col("__n") > task_rows).limit(1).count():
+    large = F.col("__n") > task_rows
+    while digits < 30 and targets.where(large).limit(1).count():
         digits += 3
         finer = (
             _inside(base, targets, group)
             .groupBy(*group, "__cut", "__want", F.substring("__h", 1, digits).alias("__b"))
-            .agg(F.count(F.lit(1)).alias("__n"))
+            .agg(rows, (F.min("__h") == F.max("__h")).alias("__alike"))
         )
         targets = settle(_locate(finer, [*group, "__cut"], "__b", F.col("__want")))
-    place = F.row_number().over(W.partitionBy(*group, "__cut").orderBy("__h", "__k"))
-    last = F.struct(F.col("__h").alias("h"), F.col("__k").alias("k"))
-    return settle(
+        large = (F.col("__n") > task_rows) & ~F.col("__alike")
+    keys = (
         _inside(base, targets, group)
-        .withColumn("__place", place)
-        .where(F.col("__place") == F.col("__want"))
+        .groupBy(*group, "__cut", "__want", F.struct("__h", "__k").alias("__key"))
+        .agg(rows)
+    )
+    last = F.struct(
+        F.col("__bucket.__h").alias("h"),
+        F.col("__bucket.__k").alias("k"),
+        F.col("__want").alias("take"),
+        F.col("__n").alias("copies"),
+    )
+    return settle(
+        _locate(keys, [*group, "__cut"], "__key", F.col("__want"))
         .groupBy(*[F.col(g).alias(s) for g, s in zip(group, strata, strict=True)])
         .agg(*[F.max(F.when(F.col("__cut") == cut, last)).alias(cut) for cut in cuts])
     )
@@ -174,6 +186,9 @@ def mark_cuts(
 
     ``ends`` comes from ``hash_cuts``. A single pass: every row meets the ends of its
     stratum, a table with one row per stratum; without strata the ends are constants.
+    Where a cut goes through rows that share one key, exactly ``take`` of them are inside:
+    the first in the hash order of all columns, and any of those that are the same in all
+    columns.
     """
     spark_key = row_key(df, key)
     pair = F.struct(seeded_hash(seed, spark_key).alias("h"), spark_key.alias("k"))
@@ -188,15 +203,80 @@ def mark_cuts(
         row = ends.first()
         met = df
         last = {
-            cut: F.struct(F.lit(row[cut]["h"]).alias("h"), F.lit(row[cut]["k"]).alias("k"))
+            cut: F.struct(*[F.lit(v).alias(n) for n, v in row[cut].asDict().items()])
             if row and row[cut]
             else F.lit(None).cast(ends.schema[cut].dataType)
             for cut in names
         }
-    return met.select(
-        *[c(n) for n in df.columns],
+    inside = {
+        cut: F.coalesce(pair <= F.struct(end["h"].alias("h"), end["k"].alias("k")), F.lit(False))
+        for cut, end in last.items()
+    }
+    columns = [c(n) for n in df.columns]
+    through = reduce(or_, [F.col(cut)["take"] < F.col(cut)["copies"] for cut in names])
+    if not ends.where(through).limit(1).count():
+        return met.select(*columns, *[inside[cut].alias(name) for cut, name in names.items()])
+
+    def at(end: Column) -> Column:
+        same = (pair["h"] == end["h"]) & (pair["k"] == end["k"])
+        return F.coalesce(same & (end["take"] < end["copies"]), F.lit(False))
+
+    edge = reduce(or_, [at(end) for end in last.values()])
+    clear = met.where(~edge).select(*columns, *[inside[cut].alias(name) for cut, name in names.items()])
+    shared = met.where(edge).select(
+        *columns,
+        pair["h"].alias("__edge"),
         *[
-            F.coalesce(pair <= last[cut], F.lit(False)).alias(column)
-            for cut, column in names.items()
+            F.struct(inside[cut].alias("inside"), at(end).alias("at"), end["take"].alias("take")).alias(f"__at_{cut}")
+            for cut, end in last.items()
         ],
     )
+    by = [*strata, "__edge"]
+    covered = {*strata, *([key] if isinstance(key, str) else key or df.columns)}
+    if covered.issuperset(df.columns):
+        counted = _copies_in_order(shared, by)
+        decided = {cut: F.col("__place") < F.col(f"__at_{cut}")["take"] for cut in names}
+    else:
+        # The key does not tell these rows apart; all columns do, as far as they differ.
+        quotas = reduce(
+            DataFrame.unionByName,
+            [
+                ends.where(F.col(cut)["take"] < F.col(cut)["copies"]).select(
+                    *[c(s) for s in strata],
+                    F.col(cut)["h"].alias("__edge"),
+                    F.lit(cut).alias("cut"),
+                    F.col(cut)["take"].alias("quota"),
+                )
+                for cut in names
+            ],
+        )
+        rest = [n for n in shared.columns if n not in by]
+        finer = hash_cuts(shared, quotas, by, rest, seed, list(names))
+        marks = {cut: f"__mark_{cut}" for cut in names}
+        counted = mark_cuts(shared, finer, by, rest, seed, marks)
+        decided = {cut: F.col(mark) for cut, mark in marks.items()}
+    return clear.unionByName(
+        counted.select(
+            *columns,
+            *[
+                F.when(F.col(f"__at_{cut}")["at"], decided[cut]).otherwise(F.col(f"__at_{cut}")["inside"]).alias(name)
+                for cut, name in names.items()
+            ],
+        )
+    )
+
+
+def _copies_in_order(df: DataFrame, by: Sequence[str], step: int = 10_000) -> DataFrame:
+    """Rows numbered within ``by`` from 0, in ``__place``; copies of a row follow each other.
+
+    Copies travel as one row and their number. They become rows again in steps that are
+    dealt over the tasks.
+    """
+    counted = df.groupBy(*[c(n) for n in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
+    order = W.partitionBy(*[c(n) for n in by]).orderBy(row_fingerprint(df))
+    numbered = counted.withColumn("__first", F.sum("__n").over(order) - F.col("__n"))
+    end = F.col("__first") + F.col("__n") - 1
+    steps = numbered.withColumn("__from", F.explode(F.sequence("__first", end, F.lit(step).cast("bigint"))))
+    dealt = steps.repartition("__from", *[c(n) for n in by])
+    upto = F.least(F.col("__from") + (step - 1), end)
+    return dealt.withColumn("__place", F.explode(F.sequence("__from", upto))).drop("__n", "__first", "__from")

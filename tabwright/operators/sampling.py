@@ -1,8 +1,8 @@
 """Samples of an exact size, the same for a seed whatever the partitioning.
 
-Rows are taken in the order of a seeded hash of their key. The key must identify rows;
-without one all columns together are the key, which is right for a table without
-duplicate rows.
+Rows are taken in the order of a seeded hash of their key; without one all columns
+together are the key. Where the last rows share a key, as copies of a row do, as many of
+them are taken as fit, so that sizes are exact for any table.
 """
 
 from __future__ import annotations

@@ -116,18 +116,18 @@ def _two_cuts(
     else:
         ends = hash_cuts(df, quotas, strata, key, seed, ["outer"], task_rows)
         marked = mark_cuts(df, ends, strata, key, seed, {"outer": "__outer"})
-        rest = marked.where("__outer").drop("__outer")
-        inner_strata: list[str] = []
+        # Only the rows of the outer part count; copies of one row may lie on both sides.
+        rest = marked.where("__outer")
+        inner_strata = ["__outer"]
         if not stratify_outer:
             held = _rows_per_label(rest, label)
             if stratify_inner(held):
-                inner_strata = [label]
+                inner_strata = [label, "__outer"]
                 inner_shares = share_out(held.table, label, inner, outer, held.classes)
-        quotas = _quotas(df, inner_shares, label, "inner", inner)
+        quotas = _quotas(df, inner_shares, label, "inner", inner).withColumn("__outer", F.lit(True))
+        key = key or df.columns
         ends = hash_cuts(rest, quotas, inner_strata, key, seed, ["inner"], task_rows)
-        marked = mark_cuts(
-            marked, ends, inner_strata, key or df.columns, seed, {"inner": "__inner"}
-        )
+        marked = mark_cuts(marked, ends, inner_strata, key, seed, {"inner": "__inner"})
     split = (
         F.when(F.col("__outer") & F.col("__inner"), F.lit(inside))
         .when(F.col("__outer"), F.lit(middle))
