@@ -69,7 +69,7 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts, distances from the language's histograms and the verdict for each document."""
-    return quality_rules.judge(documents(spark, folder)).select(
+    return quality_rules.judge_counts(documents(spark, folder)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept",
     )
@@ -102,16 +102,33 @@ WITH d AS (
   SELECT doc_id, lang, listed IS NOT NULL AS has_list, 0 AS kind, unnest(range(8)) AS i, unnest(classes) AS n FROM c
   UNION ALL
   SELECT doc_id, lang, listed IS NOT NULL, 1, unnest(range(13)), unnest(common) FROM c
+), parts AS (
+  SELECT *, coalesce(floor(n * least(total, CASE kind WHEN 0 THEN {quality_rules.MOST_CHARACTERS} ELSE {quality_rules.MOST_WORDS} END)
+    * {quality_rules.PARTS} / nullif(total, 0)), 0)::BIGINT AS m
+  FROM (SELECT *, (sum(n) OVER (PARTITION BY doc_id, kind))::BIGINT AS total FROM cells)
 ), refs AS (
-  SELECT lang, kind, i, sum(n) AS n FROM cells WHERE lang IS NOT NULL GROUP BY ALL
+  SELECT lang, kind, i, sum(m) AS n FROM parts WHERE lang IS NOT NULL GROUP BY ALL
+), known AS (
+  SELECT lang FROM refs WHERE kind = 0 GROUP BY lang HAVING sum(n) > 0
+), everything AS (
+  SELECT kind, i, sum(m) AS n FROM parts WHERE kind = 0 GROUP BY ALL
+), used AS (
+  SELECT r.* FROM refs r JOIN known USING (lang)
+  UNION ALL
+  SELECT '', kind, i, n FROM everything
 ), shares AS (
   SELECT c.doc_id, c.kind, c.n / nullif(sum(c.n) OVER (PARTITION BY c.doc_id, c.kind), 0) AS p,
-    r.n / sum(r.n) OVER (PARTITION BY c.doc_id, c.kind) AS q
-  FROM cells c JOIN refs r ON c.lang = r.lang AND c.kind = r.kind AND c.i = r.i
+    r.n / nullif(sum(r.n) OVER (PARTITION BY c.doc_id, c.kind), 0) AS q
+  FROM cells c LEFT JOIN known k ON c.lang = k.lang
+  JOIN used r ON coalesce(k.lang, '') = r.lang AND c.kind = r.kind AND c.i = r.i
 ), distances AS (
   SELECT doc_id, kind, sqrt(greatest(sum((CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END
     + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2), 0)) AS far
-  FROM shares GROUP BY doc_id, kind
+  FROM shares WHERE p IS NOT NULL GROUP BY doc_id, kind
+), without AS (
+  SELECT lang, sqrt(sum((CASE WHEN i = 12 THEN log2(2 / (1 + q)) + CASE WHEN q > 0 THEN q * log2(2 * q / (1 + q)) ELSE 0 END
+    ELSE q END) / 2)) AS none
+  FROM (SELECT lang, i, n / nullif(sum(n) OVER (PARTITION BY lang), 0) AS q FROM refs WHERE kind = 1) GROUP BY lang
 ), windows AS (
   SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS pos FROM d
 ), again AS (
@@ -123,7 +140,7 @@ WITH d AS (
     classes[6]::BIGINT AS n_symbols,
     (len([x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, '{blank}')])
       - len(list_distinct([x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, '{blank}')])))::BIGINT AS n_dup_lines,
-    coalesce(r.n, 0)::BIGINT AS n_repeat_words, length(t) AS size, listed IS NOT NULL AS has_list
+    coalesce(r.n, 0)::BIGINT AS n_repeat_words, length(t) AS size, listed IS NOT NULL AS has_list, lang
   FROM c LEFT JOIN repeats r ON c.doc_id = r.doc_id
 ), judged AS (
   SELECT *, n_words < {quality_rules.LEAST_WORDS} OR 100 * n_repeat_words > {quality_rules.MOST_REPEATED} * n_words AS base_failed
@@ -132,8 +149,8 @@ WITH d AS (
 SELECT j.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed
     AND coalesce(size < {quality_rules.CHARACTER_GUARD} OR a.far <= {quality_rules.CHARACTER_DISTANCE}, true)
-    AND coalesce(NOT has_list OR n_words < {quality_rules.WORD_GUARD} OR b.far <= {quality_rules.WORD_DISTANCE}, true) AS kept
-FROM judged j
+    AND coalesce(NOT has_list OR b.far <= {quality_rules.WORD_SHARE} * none + {quality_rules.WORD_NOISE} / sqrt(n_words), true) AS kept
+FROM judged j LEFT JOIN without w ON j.lang = w.lang
 LEFT JOIN distances a ON j.doc_id = a.doc_id AND a.kind = 0
 LEFT JOIN distances b ON j.doc_id = b.doc_id AND b.kind = 1
 """

@@ -1,23 +1,26 @@
 """Quality rules: how far a document's histograms are from those of its language.
 
 Two histograms per document, one over classes of characters and one over the commonest
-words of its language, are compared with the same histograms summed over all documents
-of that language. The measure is the Jensen-Shannon distance (square root of the
-divergence to base 2, 0 to 1). Short documents have noisy histograms, so each comparison
-has a least length below which it says nothing; the limit of word distances relative to
-the language, which ``keep_good`` goes by, widens for short documents instead. All of it is made of built-in functions
-row by row; the only shuffle carries one row per language and task.
+words of its language, are compared with those of all documents of that language. In these
+references a document weighs by its length up to a bound, so that a few very long ones do
+not set them.
+The measure is the Jensen-Shannon distance (square root of the divergence to base 2, 0 to
+1). Short documents have noisy histograms. The character distance says nothing below a
+least length; the limit of the word distance is a share of the distance that a text without
+any common word has in that language, plus what chance adds in so few words. All of it is
+made of built-in functions row by row; the only shuffle carries one row per language and
+task. ``judge_counts`` reads each text once: what it needs of it is written as a few numbers.
 
 Defined cases: NULL and blank texts have no words and fail the plain rule; documents
 without a language, or with one that no document with words has, are compared with the
-histogram of all documents; languages without a list of words are compared by characters
-only; repeated rows are judged like others; an empty table gives an empty table.
+characters of all documents and not by words; languages without a list of words are
+compared by characters only; repeated rows are judged like others; an empty table gives an
+empty table. Three-word windows of a text are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,12 +40,14 @@ LEAST_WORDS = 50
 MOST_REPEATED = 50
 CHARACTER_GUARD = 200
 CHARACTER_DISTANCE = 0.35
-WORD_GUARD = 150
-WORD_DISTANCE = 0.6
-#: The limit of word distances that ``keep_good`` goes by: a share of the distance of a text
-#: with none of the language's common words, and what chance adds over the root of the words.
+#: The limit of word distances: a share of the distance of a text with none of the
+#: language's common words, and what chance adds over the root of the words.
 WORD_SHARE = 0.4
 WORD_NOISE = 1.25
+#: In the references a document weighs by its length, but not beyond these.
+MOST_CHARACTERS, MOST_WORDS = 6000, 1000
+#: Weighted counts are whole thousandths, so that sums are exact in any order.
+PARTS = 1000
 
 
 def _class_counts(df: DataFrame) -> DataFrame:
@@ -96,7 +101,7 @@ def _none_common(counts: str) -> Column:
 def _repeated_words(windows: str) -> Column:
     """Words inside windows found twice or more, from the array of a text's windows."""
     placed = F.sort_array(F.transform(windows, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
-    return F.when(F.size(F.array_distinct(windows)) == F.size(windows), F.array().cast("array<struct<w:string,i:int>>")).otherwise(placed)
+    return F.when(F.size(F.array_distinct(windows)) == F.size(windows), F.array().cast("array<struct<w:bigint,i:int>>")).otherwise(placed)
 
 
 def base_counts(df: DataFrame) -> DataFrame:
@@ -104,11 +109,11 @@ def base_counts(df: DataFrame) -> DataFrame:
     n = F.size("__words")
     lines = F.filter(F.split(F.coalesce("__text", F.lit("")), "\n", -1), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
     windows = F.when(
-        n < 3, F.array().cast("array<string>")
+        n < 3, F.array().cast("array<bigint>")
     ).otherwise(
         F.transform(
             F.slice("__words", F.lit(1), n - 2),
-            lambda w, i: F.concat_ws(" ", w, F.get("__words", i + 1), F.get("__words", i + 2)),
+            lambda w, i: F.xxhash64(w, F.get("__words", i + 1), F.get("__words", i + 2)),
         )
     )
     out = (
@@ -140,14 +145,21 @@ def _histograms(docs: DataFrame, common: Mapping[str, Sequence[str]]) -> DataFra
     return _word_counts(_class_counts(df.withColumn("__words", words_of(F.col("__text")))), common)
 
 
-def language_references(docs: DataFrame, common: Mapping[str, Sequence[str]] = COMMON_WORDS) -> DataFrame:
-    """One row per language, and one with NULL for all: both histograms, summed."""
-    cells = F.posexplode(F.concat("__classes", "__common")).alias("__at", "__n")
+def _weighted(counts: str, most: int) -> Column:
+    """The counts in thousandths, as if the document had ``most`` of them if it has more."""
+    total = F.aggregate(counts, F.lit(0).cast("bigint"), lambda s, x: s + x)
+    share = F.least(total, F.lit(most).cast("bigint")) * PARTS
+    return F.transform(counts, lambda x: F.floor(F.coalesce(x * share / F.nullif(total, F.lit(0)), F.lit(0.0))))
+
+
+def references_of(histograms: DataFrame) -> DataFrame:
+    """One row per language, and one with NULL for all: both histograms, summed by weight.
+
+    ``histograms`` has ``__lang``, ``__classes`` and ``__common``.
+    """
+    cells = F.posexplode(F.concat(_weighted("__classes", MOST_CHARACTERS), _weighted("__common", MOST_WORDS))).alias("__at", "__n")
     sums = settle(
-        _histograms(docs.select("text", "lang"), common)
-        .select("__lang", cells)
-        .groupBy("__lang", "__at")
-        .agg(F.sum("__n").alias("__n"))
+        histograms.select("__lang", cells).groupBy("__lang", "__at").agg(F.sum("__n").alias("__n"))
     )
     n = len(CLASSES) + 1
     in_order = F.transform(F.array_sort(F.collect_list(F.struct("__at", "__n"))), lambda x: x["__n"])
@@ -166,29 +178,15 @@ def language_references(docs: DataFrame, common: Mapping[str, Sequence[str]] = C
     )
 
 
-def judge(
-    docs: DataFrame,
-    common: Mapping[str, Sequence[str]] = COMMON_WORDS,
-    character_guard: int = CHARACTER_GUARD,
-    character_distance: float = CHARACTER_DISTANCE,
-    word_guard: int = WORD_GUARD,
-    word_distance: float = WORD_DISTANCE,
-    word_share: float | None = None,
-    word_noise: float = WORD_NOISE,
-) -> DataFrame:
-    """Every row of ``docs`` (``text``, ``lang``) with counts, distances and ``kept``.
+def language_references(docs: DataFrame, common: Mapping[str, Sequence[str]] = COMMON_WORDS) -> DataFrame:
+    """``references_of`` the texts of ``docs``."""
+    return references_of(_histograms(docs.select("text", "lang"), common))
 
-    ``character_guard`` is the least number of characters, ``word_guard`` the least
-    number of words, from which the distance of that kind counts. A document is kept if
-    the plain rule (``base_failed``) holds nothing against it and neither distance is
-    above its limit.
 
-    With ``word_share`` the word distance counts at every length, and its limit is that
-    share of the distance a text without any common word has in that language, plus
-    ``word_noise`` over the root of the number of words; ``word_guard`` and
-    ``word_distance`` then say nothing.
-    """
-    references = language_references(docs, common)
+def _judged(
+    counted: DataFrame, references: DataFrame, character_guard: int, character_distance: float, word_share: float, word_noise: float
+) -> DataFrame:
+    """Distances and verdict for rows with their counts."""
     # Few languages have few rows: the known ones are met by name, the rest by NULL.
     known = references.where(F.col("reference").isNotNull()).select(
         F.col("reference").alias("__reference"), F.col("classes").alias("__ref_classes"), F.col("common").alias("__ref_common"),
@@ -198,17 +196,13 @@ def judge(
     everything = (
         F.array(*[F.lit(x).cast("bigint") for x in whole[0]]) if whole else F.lit(None).cast("array<bigint>")
     )
-    df = base_counts(_histograms(docs, common)).join(known, F.col("__lang") == F.col("__reference"), "left")
-    judged = df.withColumns(
+    judged = counted.join(known, F.col("__lang") == F.col("__reference"), "left").withColumns(
         {
             "character_distance": F.when(
-                F.length(F.coalesce("__text", F.lit(""))) >= character_guard,
+                F.col("__size") >= character_guard,
                 jensen_shannon(F.col("__classes"), F.coalesce("__ref_classes", everything)),
             ),
-            "word_distance": F.when(
-                F.col("__list").isNotNull() & (F.col("n_words") >= (word_guard if word_share is None else 1)),
-                jensen_shannon(F.col("__common"), F.col("__ref_common")),
-            ),
+            "word_distance": F.when(F.col("__listed"), jensen_shannon(F.col("__common"), F.col("__ref_common"))),
             # A filter on this is pushed below columns that are all determined by the row,
             # and would there repeat the chain that makes them; the number keeps it above.
             "base_failed": (
@@ -218,28 +212,62 @@ def judge(
             & (F.monotonically_increasing_id() >= 0),
         }
     )
-    word_limit = (
-        F.lit(word_distance)
-        if word_share is None
-        else word_share * F.col("__without") + word_noise / F.sqrt(F.col("n_words"))
-    )
-    near = reduce(
-        lambda a, b: a & b,
-        [
-            F.coalesce(F.col("character_distance") <= character_distance, F.lit(True)),
-            F.coalesce(F.col("word_distance") <= word_limit, F.lit(True)),
-        ],
+    word_limit = word_share * F.col("__without") + word_noise / F.sqrt(F.nullif(F.col("n_words"), F.lit(0)))
+    near = F.coalesce(F.col("character_distance") <= character_distance, F.lit(True)) & F.coalesce(
+        F.col("word_distance") <= word_limit, F.lit(True)
     )
     return judged.withColumn("kept", ~F.col("base_failed") & near).drop(
         *[c for c in judged.columns if c.startswith("__")]
     )
 
 
-def keep_good(docs: DataFrame, word_share: float | None = WORD_SHARE, **limits) -> DataFrame:
-    """The rows that ``judge`` keeps by the limit relative to its language, with the columns they had."""
+def _counted(docs: DataFrame, common: Mapping[str, Sequence[str]]) -> DataFrame:
+    """``docs`` with all counts of each text."""
+    return base_counts(_histograms(docs, common)).withColumns(
+        {"__size": F.length(F.coalesce("__text", F.lit(""))), "__listed": F.col("__list").isNotNull() & (F.col("n_words") > 0)}
+    )
+
+
+def judge(
+    docs: DataFrame,
+    common: Mapping[str, Sequence[str]] = COMMON_WORDS,
+    character_guard: int = CHARACTER_GUARD,
+    character_distance: float = CHARACTER_DISTANCE,
+    word_share: float = WORD_SHARE,
+    word_noise: float = WORD_NOISE,
+) -> DataFrame:
+    """Every row of ``docs`` (``text``, ``lang``) with counts, distances and ``kept``.
+
+    ``character_guard`` is the least number of characters from which the distance of that
+    kind counts. The limit of the word distance is ``word_share`` of the distance that a
+    text without any common word has in that language, plus ``word_noise`` over the root of
+    the number of words. A document is kept if the plain rule (``base_failed``) holds
+    nothing against it and neither distance is above its limit. The texts are read twice,
+    as they are returned; ``judge_counts`` reads them once.
+    """
+    references = language_references(docs, common)
+    return _judged(_counted(docs, common), references, character_guard, character_distance, word_share, word_noise)
+
+
+def judge_counts(
+    docs: DataFrame,
+    common: Mapping[str, Sequence[str]] = COMMON_WORDS,
+    character_guard: int = CHARACTER_GUARD,
+    character_distance: float = CHARACTER_DISTANCE,
+    word_share: float = WORD_SHARE,
+    word_noise: float = WORD_NOISE,
+) -> DataFrame:
+    """What ``judge`` gives, without the texts: their counts are written once and used twice."""
+    counted = _counted(docs, common)
+    light = settle(counted.drop("text", "__text", "__words", "__list"))
+    return _judged(light, references_of(light), character_guard, character_distance, word_share, word_noise)
+
+
+def keep_good(docs: DataFrame, **limits) -> DataFrame:
+    """The rows that ``judge`` keeps, with the columns they had."""
     names = docs.columns
     plain = docs.select("text", "lang", F.struct(*[F.col(f"`{n}`") for n in names]).alias("row"))
     # A filter is pushed below columns that are all determined by the row, and would there
     # repeat the whole chain that makes ``kept``. The running number keeps it above.
-    judged = judge(plain, word_share=word_share, **limits).select("row", "kept", F.monotonically_increasing_id().alias("once"))
+    judged = judge(plain, **limits).select("row", "kept", F.monotonically_increasing_id().alias("once"))
     return judged.where("kept and once >= 0").select(*[F.col("row").getField(n).alias(n) for n in names])

@@ -56,7 +56,7 @@ def test_sql(spark, name):
     [
         suffix_dedup.removal_report, suffix_dedup.without_repeats, near_duplicates.near_duplicates,
         near_duplicates.without_near_duplicates, language_model.score, packing.pack, quality_rules.judge,
-        quality_rules.keep_good, mixing.mix, mixing.mixed_documents, fingerprints.compare_edits,
+        quality_rules.judge_counts, quality_rules.keep_good, mixing.mix, mixing.mixed_documents, fingerprints.compare_edits,
         language_id.identify, license_scan.scan_licenses, sharding.assign_shards, sharding.exchange,
     ],
 )
@@ -321,13 +321,36 @@ def test_good_documents_stay(spark):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     found = catalog.op6_quality_rules(spark, "/root/testdata/sf0.01").join(labels, "doc_id").where("not base_failed")
     shares = {r["quality"]: r["share"] for r in found.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("share")).collect()}
-    assert shares[1] == 1 and shares[0] < 0.6
+    assert shares[1] == 1 and shares[0] < 0.1
 
 
 def test_each_common_word_is_counted(spark):
     frame = spark.createDataFrame([("the OF the cat and the", "en"), ("der x die der", "de"), ("the", None)], "text string, lang string")
     got = {r["reference"]: r["common"] for r in quality_rules.language_references(frame).collect()}
-    assert got["en"] == [3, 1, 1] + [0] * 9 + [1] and got["de"] == [2, 1] + [0] * 10 + [1]
+    assert got["en"] == [3000, 1000, 1000] + [0] * 9 + [1000]
+    assert got["de"] == [2000, 1000] + [0] * 10 + [1000]
+
+
+def test_long_documents_do_not_set_the_reference(spark):
+    frame = spark.createDataFrame([("the of and", "en")] * 9 + [("zzz " * 100_000, "en")], "text string, lang string")
+    got = quality_rules.language_references(frame).where("reference = 'en'").first()["common"]
+    assert got == [9000, 9000, 9000] + [0] * 9 + [1_000_000]
+
+
+def test_counts_and_texts_are_judged_alike(spark, docs, edges):
+    names = ("n_words", "n_symbols", "n_repeat_words", "base_failed", "kept")
+    for frame in (spark.createDataFrame(docs), edges.where("doc_id is not null").dropDuplicates(["doc_id"])):
+        assert by_id(quality_rules.judge(frame), *names) == by_id(quality_rules.judge_counts(frame), *names)
+
+
+def test_documents_without_a_language_meet_all_documents(spark):
+    rows = [(i, "plain words in the text of a document " * 10, "en") for i in range(30)]
+    rows += [(100, "plain words in the text of a document " * 10 + str(i), None) for i in range(1)]
+    rows += [(101, "0123456789 " * 60, None), (102, "0123456789 " * 60, "xx")]
+    frame = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    got = by_id(quality_rules.judge_counts(frame), "character_distance", "word_distance")
+    assert got[100][0] < 0.2 and got[101][0] > 0.35 and got[102][0] == 0
+    assert all(got[i][1] is None for i in (100, 101, 102))
 
 
 @pytest.mark.parametrize("size", [50, 90, 400, 3000])
@@ -511,6 +534,20 @@ def test_pipeline_stages_by_hand(spark):
     top, _ = brute.components(good.doc_id.tolist(), good.text.tolist(), 5, 80)
     assert set(single.doc_id) == set(top)
     trimmed = corpus_pipeline.suffix_dedup_stage(spark, spark.createDataFrame(single), FOLDER).toPandas().set_index("doc_id")
-    for i, want in zip(single.doc_id, brute.removed(single.text, 400), strict=True):
+    for i, want in zip(single.doc_id, brute.removed(single.text, corpus_pipeline.REPEATED), strict=True):
         left = trimmed.text[i].encode()
         assert want[0] - want[1] - 6 * want[2] <= len(left) <= want[0] - want[1]
+
+
+def test_pipeline_takes_passages_of_over_fifty_words(spark):
+    """A passage of 51 words goes from all documents that share it; what is theirs alone stays."""
+    import corpus_pipeline
+
+    passage = " ".join(f"pas{i}" for i in range(51))
+    rest = [" ".join(f"own{i}x{j}" for j in range(80)) for i in range(12)]
+    texts = [f"{r} {passage} {r[::-1]}" if i < 8 else r for i, r in enumerate(rest)]
+    frame = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.suffix_dedup_stage(spark, frame, FOLDER).collect()}
+    for i, r in enumerate(rest):
+        assert passage[20:-20] not in got[i] and r[:-8] in got[i]
+        assert got[i] == texts[i] or i < 8
