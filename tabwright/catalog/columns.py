@@ -282,3 +282,34 @@ def _(spark, folder):
         return report.withColumn("column", F.concat(F.lit(name + "."), "column"))
 
     return one("part").unionByName(one("customer"))
+
+
+@query(
+    "narrow_types_cast",
+    """select p_partkey::{int} as p_partkey, p_name, p_brand, p_type, p_size, p_retailprice::{price} as p_retailprice from part""".format(int="INTEGER", price="DOUBLE"),
+)
+def _(spark, folder):
+    part = table(spark, folder, "part")
+    narrowed, report = types.narrow_types(part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"))
+    # The type of the key depends on the number of parts; its values must not.
+    wide = narrowed.withColumn("p_partkey", F.col("p_partkey").cast("int"))
+    return wide.withColumn("p_retailprice", F.round(F.col("p_retailprice").cast("double"), 2))
+
+
+_SKETCHED = _narrow(
+    [
+        ("o_orderkey", "long", "bigint"), ("o_orderstatus", "text", "string"), ("o_orderpriority", "text", "string"),
+        ("o_totalprice", "double", "double"),
+    ],
+    "orders",
+)
+
+
+@query(
+    "narrow_types_sketched",
+    f"""select "column", from_type, to_type, min_value, max_value, category_candidate from ({_SKETCHED})""",
+)
+def _(spark, folder):
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    report = types.narrow_report(orders, exact=False).drop("distinct_count")
+    return report.withColumn("column", F.concat(F.lit("orders."), "column"))

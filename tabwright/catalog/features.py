@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabwright.catalog.base import query, r, rounded, table
+from tabwright.catalog.base import fresh_path, query, r, rounded, table
 from tabwright.operators.group_features import (
     OutlierRule,
     ZScoreConfig,
+    apply_robust,
+    apply_zscore,
     iqr_outliers,
     outlier_summary,
     robust_parameters,
     robust_standardize,
     zscore_log,
+    zscore_parameters,
 )
+from tabwright.sources.tables import read_table, write_table
 
 _SQL_IQR = """with b as (select o_custkey as g, quantile_cont(o_totalprice, 0.25) as q0,
                                 quantile_cont(o_totalprice, 0.75) as q1 from orders group by 1)
@@ -186,3 +190,85 @@ def _(spark, folder):
         clip_min=-2, clip_max=2, log_base="10", suffix="_z", keep_original=False,
     )
     return rounded(zscore_log(_balance(spark, folder), config)[0], 4)
+
+
+# --- the same with other settings, and parameters that were saved --------------------------
+
+
+@query(
+    "zscore_log_global_linear",
+    f"""with b as (select quantile_cont(abs(x), 0.25) as q0, quantile_cont(abs(x), 0.75) as q1 from {_BALANCE}),
+        l as (select c_custkey, g, x, log2(abs(x) + 0.001::DOUBLE) as y,
+                     abs(x) between q0 - 0.1::DOUBLE * (q1 - q0) and q1 + 0.1::DOUBLE * (q1 - q0) as ok
+              from {_BALANCE}, b),
+        p as (select avg(y) filter (where ok) as mean, stddev_samp(y) filter (where ok) as std from l)
+        select c_custkey, g, x, case when y is not null then greatest(5::DOUBLE, least(25::DOUBLE, round_even(5::DOUBLE
+                 + (greatest(-2::DOUBLE, least(3::DOUBLE, (y - mean) / std)) + 2::DOUBLE) * 20::DOUBLE / 5::DOUBLE, 0))) end as x_zscore
+        from l, p""",
+)
+def _(spark, folder):
+    config = ZScoreConfig(
+        column="x", outliers=OutlierRule(lower_coefficient=0.1, upper_coefficient=0.1),
+        clip_min=-2, clip_max=3, linear=True, target_min=5, target_max=25, log_base="2",
+    )
+    return zscore_log(_balance(spark, folder), config)[0]
+
+
+# One value a nation stands for groups without spread.
+_FLAT = f"""(select c_custkey, g, case when g % 5 = 0 then 700::DOUBLE else x end as x from {_BALANCE})"""
+
+
+@query(
+    "robust_standardize_degenerate",
+    f"""{_robust_sql('iqr').replace(_BALANCE, _FLAT)}
+        select c_custkey, s.g, x,
+          case when state = 'degenerate' then round_even(greatest(1::DOUBLE, least(100::DOUBLE, 1::DOUBLE + (50.5::DOUBLE + 1::DOUBLE) * 99::DOUBLE / 6::DOUBLE)), 0)
+               when state = 'scaled' and x is not null then round_even(greatest(1::DOUBLE, least(100::DOUBLE,
+                 1::DOUBLE + ((abs(x) - mean) / std + 1::DOUBLE) * 99::DOUBLE / 6::DOUBLE)), 0) end as x_scaled
+        from s left join k on s.g = k.g""",
+)
+def _(spark, folder):
+    # Groups without spread get the middle of the scale, which is then mapped like a value.
+    flat = _balance(spark, folder).withColumn("x", F.when(F.col("g") % 5 == 0, 700.0).otherwise(F.col("x")))
+    return robust_standardize(flat, "g", "x", iqr_multiplier=0.2, degenerate="as_reference")[0]
+
+
+@query(
+    "zscore_saved_parameters",
+    f"""with past as (select * from orders where year(o_orderdate) < 1998),
+        {_ZSCORE_SQL.removeprefix('with ').replace('from orders', 'from past')}
+        select o_orderkey, orders.o_custkey, o_totalprice,
+               case when std > 0 then greatest(1::DOUBLE, least(10::DOUBLE, round_even(1::DOUBLE
+                 + (greatest(-3::DOUBLE, least(5::DOUBLE, (ln(o_totalprice + 0.1::DOUBLE) - mean) / std)) + 3::DOUBLE) * 9::DOUBLE / 8::DOUBLE, 0))) end
+               as o_totalprice_zscore
+        from orders left join (select * from p where used > 0) p on orders.o_custkey = g where year(o_orderdate) >= 1998""",
+)
+def _(spark, folder):
+    # Learned from the years before, written, read back, and used on later orders; customers
+    # without earlier orders have no parameters.
+    orders = table(spark, folder, "orders")
+    names = ["o_orderkey", "o_custkey", "o_totalprice"]
+    past, later = (orders.where(test).select(*names) for test in ("year(o_orderdate) < 1998", "year(o_orderdate) >= 1998"))
+    path = fresh_path(spark, "zscore_parameters")
+    write_table(zscore_parameters(past, _ZSCORE), path)
+    return apply_zscore(later, read_table(spark, path), _ZSCORE)
+
+
+@query(
+    "robust_saved_parameters",
+    f"""{_robust_sql('iqr')},
+        o as (select s_suppkey, s_nationkey, s_acctbal from supplier)
+        select s_suppkey as c_custkey, s_nationkey as g, s_acctbal as x,
+          case when state = 'degenerate' then 50.5::DOUBLE
+               when state = 'scaled' then round_even(greatest(1::DOUBLE, least(100::DOUBLE,
+                 1::DOUBLE + ((abs(s_acctbal) - mean) / std + 1::DOUBLE) * 99::DOUBLE / 6::DOUBLE)), 0) end as x_scaled
+        from o left join k on s_nationkey = k.g""",
+)
+def _(spark, folder):
+    # What the customers of a nation teach, used on its suppliers.
+    path = fresh_path(spark, "robust_parameters")
+    write_table(robust_parameters(_balance(spark, folder), "g", "x", "iqr", 0.2), path)
+    suppliers = table(spark, folder, "supplier").select(
+        F.col("s_suppkey").alias("c_custkey"), F.col("s_nationkey").alias("g"), F.col("s_acctbal").alias("x")
+    )
+    return apply_robust(suppliers, read_table(spark, path), "g", "x")

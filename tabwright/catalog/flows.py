@@ -5,19 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.catalog.base import ORDER_DAY, compact_date, query, r, rounded, table
+from tabwright.catalog.base import ORDER_DAY, compact_date, fresh_path, query, r, rounded, table
 from tabwright.catalog.lookups import HOLIDAYS, is_holiday
 from tabwright.catalog.samples import split_sql
 from tabwright.catalog.texts import amount_sql
 from tabwright.operators.group_features import OutlierRule, ZScoreConfig
+from tabwright.operators.labels import label_names
+from tabwright.operators.trace import RowTrace
 from tabwright.plans.staged import StagedConfig, staged_text
 from tabwright.plans.vouchers import (
     BaseTableConfig,
     TextConfig,
+    base_and_classes,
     base_table,
     labelled_text,
     token_table,
 )
+from tabwright.sources.tables import write_splits
 
 _FEATURES = [
     "date", "party_name", "vat_id_party", "vat_message_code", "document_type",
@@ -95,8 +99,8 @@ flow as (select split, id as labels, {_BASE_TEXT} as text from split join ids on
 
 
 def voucher_text(spark: SparkSession, folder: str) -> DataFrame:
-    base = base_table(raw_vouchers(spark, folder), BASE)
-    return labelled_text(base, TEXT)[0]
+    base, classes = base_and_classes(raw_vouchers(spark, folder), BASE)
+    return labelled_text(base, TEXT, classes)[0]
 
 
 query("voucher_text", f"with {_FLOW_SQL} select split, labels, text from flow")(voucher_text)
@@ -231,3 +235,74 @@ def _(spark, folder):
         "num_classes", F.col("total_samples").cast("bigint").alias("total_samples"),
         "min_class_samples", "max_class_samples",
     )
+
+
+# --- rows per step, and label names that travel with the ids --------------------------------
+
+
+def _steps(steps: list[tuple[str, str]]) -> str:
+    """(stage, query of its row count) to the report of a trace."""
+    counts = " union all ".join(f"select {i}::INTEGER as step, '{name}' as stage, ({sql}) as n" for i, (name, sql) in enumerate(steps))
+    before = "coalesce(lag(n) over (order by step), n)"
+    return f"select step, stage, {before}::BIGINT as rows_in, n::BIGINT as rows_out, ({before} - n)::BIGINT as rows_removed from ({counts})"
+
+
+@query(
+    "voucher_row_counts",
+    "with v as (select orders.*, c_mktsegment, n_regionkey from orders join customer on o_custkey = c_custkey"
+    " join nation on c_nationkey = n_nationkey), "
+    + f"{_BASE_SQL} "
+    + _steps(
+        [
+            ("raw", "select 2 * count(*) from v"),
+            ("incomplete rows", "select 2 * count(*) from v where o_totalprice >= 2000"),
+            ("kept values", "select 2 * count(*) from v where o_totalprice >= 2000 and year(o_orderdate) between 1996 and 2000"),
+            ("dropped values", "select 2 * count(*) from raw"),
+            ("duplicates", "select count(*) from raw"),
+            ("small classes", "select count(*) from base"),
+        ]
+    ),
+)
+def _(spark, folder):
+    trace = RowTrace()
+    base_table(raw_vouchers(spark, folder), BASE, trace)
+    return trace.report(spark)
+
+
+_PURCHASES = "select 2 * count(*) from orders join customer on o_custkey = c_custkey"
+_LARGE = f"{_PURCHASES} where o_totalprice > 5000"
+_PRIORITY = "o_orderpriority in ('1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW')"
+
+
+@query(
+    "staged_row_counts",
+    _steps(
+        [
+            ("input", _PURCHASES),
+            ("row filters", _LARGE),
+            ("stage filters", f"{_LARGE} and {_PRIORITY}"),
+            ("incomplete rows", f"{_LARGE} and {_PRIORITY}"),
+            ("duplicates", f"{_LARGE} and {_PRIORITY}".replace("2 * ", "")),
+            ("small classes", f"{_LARGE} and {_PRIORITY}".replace("2 * ", "")),
+        ]
+    ),
+)
+def _(spark, folder):
+    return staged_text(raw_purchases(spark, folder), STAGED)[1]["row_counts"]
+
+
+@query(
+    "label_names_read_back",
+    f"""with {_BASE_SQL},
+        l as (select distinct acct_code as label from base),
+        r as (select label, (row_number() over (order by label) - 1)::INTEGER as id from l)
+        select id, label from r
+        union all
+        select k::INTEGER, 'dummy_' || (k + 1) from range(0, 260) t(k) where k >= (select count(*) from l)""",
+)
+def _(spark, folder):
+    # Written as split folders and read again: the id column still names its classes.
+    path = fresh_path(spark, "labelled_splits")
+    base, classes = base_and_classes(raw_vouchers(spark, folder), BASE)
+    write_splits(labelled_text(base, TEXT, classes)[0], path)
+    return label_names(spark.read.parquet(path))

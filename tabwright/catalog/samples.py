@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tabwright.catalog.base import query, table
 from tabwright.operators import sampling, splitting
+from tabwright.operators.classes import counted_classes
 
 
 def hash_order(key: str, seed: int = 42) -> str:
@@ -146,7 +147,7 @@ def _(spark, folder):
     counts = table(spark, folder, "orders").groupBy("o_orderpriority").agg(
         F.count(F.lit(1)).alias("count")
     )
-    sizes = splitting.class_sizes(counts)
+    sizes = counted_classes(counts, "o_orderpriority")[0]
     return splitting.share_out(sizes.table, "o_orderpriority", 1000, sizes.rows, sizes.classes)
 
 

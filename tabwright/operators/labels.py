@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions.columns import c, order_struct, require
+from tabwright.operators.classes import PLACEHOLDER, ClassTable
 from tabwright.operators.ordering import number_rows
-from tabwright.sources.shared import settle
+from tabwright.sources.shared import settle, settle_with
 
 
 def distinct_labels(df: DataFrame, label: str) -> DataFrame:
@@ -33,13 +34,20 @@ def label_slots(
     label: str,
     max_classes: int = 100,
     order_by: Sequence[str] | None = None,
+    classes: ClassTable | None = None,
 ) -> DataFrame:
     """``max_classes`` slots; the labels fill them from id 0, ``dummy_k`` is what is left.
 
     Labels are numbered in label order, or by their first row in the order of the
-    ``order_by`` columns. More labels than slots are an error.
+    ``order_by`` columns. More labels than slots are an error. With ``classes`` of the
+    same rows the labels are not looked for again.
     """
     require(df, label)
+    if classes is not None and not order_by and classes.label == label and not classes.placeholders:
+        real = classes.named
+        _fitting(real, max_classes)
+        numbered = number_rows(distinct_labels(classes.table, label), [F.col("label")], rows=real)
+        return _filled(numbered, real, max_classes)
     text = c(label).cast("string").alias("label")
     rows = df.where(c(label).isNotNull())
     if order_by:
@@ -48,14 +56,24 @@ def label_slots(
     else:
         found, order = distinct_labels(df, label), [F.col("label")]
     # A label that is spelled like a placeholder already has its slot.
-    own = F.regexp_extract("label", r"^dummy_([1-9]\d{0,8})$", 1)
+    own = F.regexp_extract("label", PLACEHOLDER, 1)
     placeholder = F.when(own != "", own).cast("int") <= max_classes
     found = settle(found.where(~F.coalesce(placeholder, F.lit(False))))
     real = found.count()
-    if real > max_classes:
-        raise ValueError(f"{real} labels do not fit into {max_classes} slots; raise max_classes")
-    numbered = number_rows(found, order, rows=real).select("label", "id", F.lit(False).alias("is_dummy"))
-    return numbered.unionByName(_dummies(df, real, max_classes, "dummy_%d", real + 1))
+    _fitting(real, max_classes)
+    return _filled(number_rows(found, order, rows=real), real, max_classes)
+
+
+def _fitting(real: int, slots: int) -> None:
+    if real > slots:
+        raise ValueError(f"{real} labels do not fit into {slots} slots; raise max_classes")
+
+
+def _filled(numbered: DataFrame, real: int, slots: int) -> DataFrame:
+    """The numbered labels, then placeholders up to ``slots``."""
+    return numbered.select("label", "id", F.lit(False).alias("is_dummy")).unionByName(
+        _dummies(numbered, real, slots, "dummy_%d", real + 1)
+    )
 
 
 def label_dictionary(slots: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -64,12 +82,18 @@ def label_dictionary(slots: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def label_mapping_create(
-    df: DataFrame, label: str, total: int = 300, prefix: str = "DUMMY_"
+    df: DataFrame, label: str, total: int = 300, prefix: str = "DUMMY_", classes: ClassTable | None = None
 ) -> DataFrame:
-    """Labels in label order, then ``DUMMY_000, DUMMY_001, ...`` up to ``total``."""
+    """Labels in label order, then ``DUMMY_000, DUMMY_001, ...`` up to ``total``.
+
+    With ``classes`` of the same rows the labels are not looked for again.
+    """
     require(df, label)
-    found = settle(distinct_labels(df, label))
-    count = found.count()
+    if classes is not None and classes.label == label:
+        found, count = distinct_labels(classes.table, label), classes.named
+    else:
+        found, facts = settle_with(distinct_labels(df, label), labels=F.count(F.lit(1)))
+        count = facts["labels"]
     numbered = number_rows(found, [F.col("label")], rows=count)
     return numbered.select("label", "id", F.lit(False).alias("is_dummy")).unionByName(
         _dummies(df, count, total, prefix + "%03d", 0)
@@ -140,6 +164,14 @@ def encode_labels(
     )
 
 
+def label_names(df: DataFrame, column: str = "labels") -> DataFrame:
+    """``(id, label)`` of an id column that carries its label names, as written tables keep them."""
+    names = df.schema[column].metadata.get("labels")
+    if names is None:
+        raise ValueError(f"{column} carries no label names")
+    return df.sparkSession.createDataFrame(list(enumerate(names)), "id int, label string")
+
+
 def with_label_names(
     df: DataFrame, slots: DataFrame, column: str = "labels", limit: int = 100_000
 ) -> DataFrame:

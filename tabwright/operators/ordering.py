@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tabwright.functions.columns import c
 from tabwright.functions.hashing import row_fingerprint, row_key, seeded_hash
-from tabwright.sources.shared import settle
+from tabwright.sources.shared import settle, settle_with
 
 # A task may rank this many narrow rows; more are split up first.
 TASK_ROWS = 1_000_000
@@ -73,6 +74,14 @@ def _locate(counts: DataFrame, group: Sequence[str], bucket: str, quota: Column)
     )
 
 
+@dataclass(frozen=True)
+class Ends:
+    """Where cuts end per stratum, as a written table; ``shared``: some run through copies."""
+
+    table: DataFrame
+    shared: bool
+
+
 def hash_cuts(
     df: DataFrame,
     quotas: DataFrame,
@@ -81,7 +90,8 @@ def hash_cuts(
     seed: int,
     cuts: Sequence[str],
     task_rows: int = TASK_ROWS,
-) -> DataFrame:
+    rows: int | None = None,
+) -> Ends:
     """Where the first ``quota`` rows of each stratum end in hash order.
 
     ``quotas`` has the strata columns, ``cut`` (a name) and ``quota`` (a row count).
@@ -94,7 +104,8 @@ def hash_cuts(
     those few counters names the one bucket that holds the cut. Buckets that are still
     too large for a task are counted by three more digits, unless all their rows have one
     hash. In the last bucket the different keys are counted, so that a task never meets
-    the copies of a row one by one.
+    the copies of a row one by one. A table known to have no more than ``task_rows``
+    ``rows`` is ranked at once.
     """
     spark_key = row_key(df, key)
     group = [f"__s{i}" for i in range(len(strata))]
@@ -105,9 +116,11 @@ def hash_cuts(
     wanted = quotas.where(F.col("quota") > 0).select(
         *named, F.col("cut").alias("__cut"), F.col("quota").cast("bigint").alias("__quota")
     )
+    if rows is not None and rows <= task_rows:
+        return _ends(_rank(base, wanted, group), group, strata, cuts)
     digits = 3
-    rows = F.count(F.lit(1)).alias("__n")
-    counts = base.groupBy(*group, F.substring("__h", 1, digits).alias("__b")).agg(rows)
+    count = F.count(F.lit(1)).alias("__n")
+    counts = base.groupBy(*group, F.substring("__h", 1, digits).alias("__b")).agg(count)
     spread = attach(counts, wanted, group)
     targets = settle(_locate(spread, [*group, "__cut"], "__b", F.col("__quota")))
     large = F.col("__n") > task_rows
@@ -116,26 +129,50 @@ def hash_cuts(
         finer = (
             _inside(base, targets, group)
             .groupBy(*group, "__cut", "__want", F.substring("__h", 1, digits).alias("__b"))
-            .agg(rows, (F.min("__h") == F.max("__h")).alias("__alike"))
+            .agg(count, (F.min("__h") == F.max("__h")).alias("__alike"))
         )
         targets = settle(_locate(finer, [*group, "__cut"], "__b", F.col("__want")))
         large = (F.col("__n") > task_rows) & ~F.col("__alike")
     keys = (
         _inside(base, targets, group)
         .groupBy(*group, "__cut", "__want", F.struct("__h", "__k").alias("__key"))
-        .agg(rows)
+        .agg(count)
     )
+    return _ends(_locate(keys, [*group, "__cut"], "__key", F.col("__want")), group, strata, cuts)
+
+
+def _rank(base: DataFrame, wanted: DataFrame, group: Sequence[str]) -> DataFrame:
+    """The last keys of all cuts like ``_locate``, by the places of the rows."""
+    part = group or [F.lit(0)]
+    order = W.partitionBy(*part).orderBy("__h", "__k")
+    placed = base.select(
+        "*",
+        F.row_number().over(order).alias("__place"),
+        F.rank().over(order).alias("__first"),
+        F.count(F.lit(1)).over(W.partitionBy(*part, "__h", "__k")).alias("__n"),
+    )
+    return attach(placed, wanted, group).where(F.col("__place") == F.col("__quota")).select(
+        *group,
+        "__cut",
+        F.struct("__h", "__k").alias("__bucket"),
+        "__n",
+        (F.col("__place") - F.col("__first") + 1).cast("bigint").alias("__want"),
+    )
+
+
+def _ends(found: DataFrame, group: Sequence[str], strata: Sequence[str], cuts: Sequence[str]) -> Ends:
     last = F.struct(
         F.col("__bucket.__h").alias("h"),
         F.col("__bucket.__k").alias("k"),
         F.col("__want").alias("take"),
         F.col("__n").alias("copies"),
     )
-    return settle(
-        _locate(keys, [*group, "__cut"], "__key", F.col("__want"))
-        .groupBy(*[F.col(g).alias(s) for g, s in zip(group, strata, strict=True)])
-        .agg(*[F.max(F.when(F.col("__cut") == cut, last)).alias(cut) for cut in cuts])
+    table, facts = settle_with(
+        found.groupBy(*[F.col(g).alias(s) for g, s in zip(group, strata, strict=True)])
+        .agg(*[F.max(F.when(F.col("__cut") == cut, last)).alias(cut) for cut in cuts]),
+        shared=F.max(reduce(or_, [F.coalesce(F.col(cut)["take"] < F.col(cut)["copies"], F.lit(False)) for cut in cuts])),
     )
+    return Ends(table, bool(facts["shared"]))
 
 
 def _inside(base: DataFrame, targets: DataFrame, group: Sequence[str]) -> DataFrame:
@@ -176,7 +213,7 @@ def join_null_safe(
 
 def mark_cuts(
     df: DataFrame,
-    ends: DataFrame,
+    ends: Ends,
     strata: Sequence[str],
     key: Sequence[str] | str | None,
     seed: int,
@@ -192,6 +229,7 @@ def mark_cuts(
     """
     spark_key = row_key(df, key)
     pair = F.struct(seeded_hash(seed, spark_key).alias("h"), spark_key.alias("k"))
+    shared_ends, ends = ends.shared, ends.table
     if strata:
         renamed = ends.select(
             *[c(s) for s in strata],
@@ -213,8 +251,7 @@ def mark_cuts(
         for cut, end in last.items()
     }
     columns = [c(n) for n in df.columns]
-    through = reduce(or_, [F.col(cut)["take"] < F.col(cut)["copies"] for cut in names])
-    if not ends.where(through).limit(1).count():
+    if not shared_ends:
         return met.select(*columns, *[inside[cut].alias(name) for cut, name in names.items()])
 
     def at(end: Column) -> Column:

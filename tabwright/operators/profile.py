@@ -9,11 +9,20 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.functions.columns import NUMBERS, TIMES, c, missing, present, require, type_of
-from tabwright.operators.ordering import TASK_ROWS
-from tabwright.operators.quantiles import exact_quantiles
+from tabwright.functions.columns import NUMBERS, TIMES, c, missing, present, type_of
+from tabwright.operators.classes import ClassTable, class_table
+from tabwright.operators.ordering import TASK_ROWS, join_null_safe
+from tabwright.operators.quantiles import (
+    enclosed,
+    exact_quantiles,
+    quantile_names,
+    read_off,
+    sketch_of,
+    stretch_ends,
+    stretches_from,
+)
 from tabwright.operators.rows import class_counts
-from tabwright.sources.shared import settle
+from tabwright.sources.shared import settle, settle_with
 
 
 def _per_column(totals: DataFrame, entries: Sequence[Column]) -> DataFrame:
@@ -160,9 +169,19 @@ def column_statistics(
     """One row per column: type, counts, distinct values and, for numbers, the spread.
 
     Numbers add mean, sample standard deviation, min, max, median and quartiles.
+
+    Two passes over the table, whatever its width. The first takes counts, moments and a
+    sketch of every column, which encloses the quartiles. The second counts equal values
+    of a column, combined before the shuffle; distinct values are counted there, and the
+    quartiles read off the few counted values inside their enclosures. With
+    ``exact_distinct=False`` distinct values are sketched as well, and only the enclosed
+    values go through the shuffle.
     """
     names = df.columns
     numeric = [f.name for f in df.schema if isinstance(f.dataType, NUMBERS)]
+    probs = [0.25, 0.5, 0.75]
+    accuracy = 10_000
+    ends = stretch_ends(probs, accuracy)
     spots = [F.count(F.lit(1)).alias("rows")]
     for i, n in enumerate(names):
         spots.append(F.count_if(missing(df, n)).alias(f"m{i}"))
@@ -173,8 +192,11 @@ def column_statistics(
                 F.stddev_samp(known).alias(f"std{i}"),
                 F.min(known).alias(f"min{i}"),
                 F.max(known).alias(f"max{i}"),
+                sketch_of(known, ends, accuracy).alias(f"e{i}"),
             ]
-    empty = F.lit(None).cast("double")
+        if not exact_distinct:
+            spots.append(F.approx_count_distinct(_comparable(df, n)).alias(f"d{i}"))
+    empty, none = F.lit(None).cast("double"), F.lit(None).cast("array<double>")
     entries = []
     for i, f in enumerate(df.schema):
         is_number = f.name in numeric
@@ -189,45 +211,59 @@ def column_statistics(
                     (F.col(f"{part}{i}") if is_number else empty).alias(part)
                     for part in ("avg", "std", "min", "max")
                 ],
+                (F.col(f"e{i}") if is_number else none).alias("__e"),
+                (F.lit(None).cast("bigint") if exact_distinct else F.col(f"d{i}")).alias("about"),
             )
         )
-    report = _per_column(df.agg(*spots), entries)
-    report = report.join(
-        distinct_counts(df, exact=exact_distinct).withColumnRenamed(
-            "distinct_count", "unique_count"
+    report = settle(_per_column(df.agg(*spots), entries))
+    whole = F.col("n") <= F.lit(max(accuracy, task_rows // 10))
+    stretches = stretches_from(
+        report.where("__e is not null").select(
+            "column", F.col("count").alias("n"), F.col("min").alias("__min"), F.col("max").alias("__max"), "__e"
         ),
-        "column",
-        "left",
+        [c("column")], probs, ends, whole,
     )
+
+    def pair(n: str):
+        number = c(n).cast("double") if n in numeric else empty
+        value = _comparable(df, n) if exact_distinct else F.lit(None).cast("string")
+        return F.struct(F.lit(n).alias("column"), value.alias("value"), number.alias("__x"))
+
+    pairs = df.select(F.inline(F.array(*[pair(n) for n in (names if exact_distinct else numeric)]))) if names else None
+    quartiles = report.select("column").where(F.lit(False)).select("column", *[empty.alias(q) for q in quantile_names(probs)])
+    distinct = report.select("column", F.col("about").alias("unique_count"))
+    number = F.col("__x").isNotNull() & ~F.isnan("__x")
+    if exact_distinct:
+        counted = settle(pairs.groupBy("column", "value").agg(F.first("__x").alias("__x"), F.count(F.lit(1)).alias("times")))
+        distinct = counted.groupBy("column").agg(F.count("value").alias("unique_count"))
+    elif numeric:
+        counted = pairs.withColumn("times", F.lit(1).cast("bigint"))
     if numeric:
-        values = df.select(
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(F.lit(n).alias("column"), c(n).cast("double").alias("x"))
-                        for n in numeric
-                    ]
-                )
-            )
+        met = join_null_safe(counted.where(number), stretches, ["column"])
+        few = enclosed(met, [c("column")], probs, F.col("times"))
+        found, facts = settle_with(read_off(few, ["column"], probs), missed=F.max("__missed"))
+        quartiles = found.drop("n", "__missed")
+        if facts["missed"]:
+            values = counted.where(number).select("column", F.explode(F.array_repeat("__x", F.col("times").cast("int"))).alias("x"))
+            quartiles = exact_quantiles(values, ["column"], F.col("x"), probs, task_rows).drop("n")
+    return (
+        report.join(distinct, "column", "left")
+        .join(quartiles, "column", "left")
+        .select(
+            "column",
+            "dtype",
+            "count",
+            "null_count",
+            "null_ratio",
+            F.coalesce("unique_count", F.lit(0)).alias("unique_count"),
+            F.col("avg").alias("mean"),
+            "std",
+            "min",
+            "max",
+            F.col("q1").alias("median"),
+            F.col("q0").alias("q1"),
+            F.col("q2").alias("q3"),
         )
-        spread = exact_quantiles(values, ["column"], F.col("x"), [0.25, 0.5, 0.75], task_rows)
-        report = report.join(spread.drop("n"), "column", "left")
-    else:
-        report = report.select("*", *[empty.alias(q) for q in ("q0", "q1", "q2")])
-    return report.select(
-        "column",
-        "dtype",
-        "count",
-        "null_count",
-        "null_ratio",
-        F.coalesce("unique_count", F.lit(0)).alias("unique_count"),
-        F.col("avg").alias("mean"),
-        "std",
-        "min",
-        "max",
-        F.col("q1").alias("median"),
-        F.col("q0").alias("q1"),
-        F.col("q2").alias("q3"),
     )
 
 
@@ -235,19 +271,23 @@ def column_statistics(
 
 
 def class_distribution(
-    df: DataFrame, target: str, top: int = 10, rare_ratio: float = 0.01
+    df: DataFrame,
+    target: str,
+    top: int = 10,
+    rare_ratio: float = 0.01,
+    classes: ClassTable | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Two reports: classes ``(label, count, ratio, is_top, is_rare)``, and a summary row.
 
     Ratios are over all rows, those without a label included. Among equal counts the
-    smaller label comes first.
+    smaller label comes first. With ``classes`` of the same rows nothing is counted again.
     """
-    require(df, target)
-    counts = settle(class_counts(df, target).select(c(target).alias("label"), "count"))
-    total = df.count()
+    classes = classes or class_table(df, target)
+    total = classes.rows
+    counts = classes.table.where(c(target).isNotNull()).select(c(target).alias("label"), "count")
     best = counts.orderBy(F.desc("count"), "label").limit(top).select("label", F.lit(True).alias("t"))
     rare = F.col("count") < F.lit(total * rare_ratio)
-    classes = counts.join(best, "label", "left").select(
+    report = counts.join(best, "label", "left").select(
         "label",
         "count",
         (F.col("count") / F.lit(total)).alias("ratio"),
@@ -265,7 +305,7 @@ def class_distribution(
         rare_rows.alias("rare_samples"),
         (rare_rows / F.lit(max(total, 1))).alias("rare_ratio"),
     )
-    return classes, summary
+    return report, summary
 
 
 def label_top_k(df: DataFrame, label: str, k: int = 10) -> DataFrame:
@@ -332,9 +372,9 @@ def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 def split_stats(df: DataFrame, split: str = "split") -> DataFrame:
     """Rows and share of each split."""
-    counts = settle(df.groupBy(c(split).alias("split")).agg(F.count(F.lit(1)).alias("rows")))
-    total = counts.agg(F.sum("rows")).first()[0] or 1
-    return counts.select("split", "rows", (F.col("rows") / F.lit(total)).alias("ratio"))
+    counts = df.groupBy(c(split).alias("split")).agg(F.count(F.lit(1)).alias("rows"))
+    counts, facts = settle_with(counts, total=F.sum("rows"))
+    return counts.select("split", "rows", (F.col("rows") / F.lit(facts["total"] or 1)).alias("ratio"))
 
 
 def profile_diff(

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tabwright.functions.columns import c, is_float, missing, order_struct, present, require, type_of
-from tabwright.sources.shared import settle
+from tabwright.operators.classes import ClassTable, class_tables, keep_classes
 
 Rule = Mapping[str, Any]
 
@@ -83,21 +83,24 @@ def range_filter(
 def _condition(df: DataFrame, rule: Rule) -> Column | None:
     """The rows a rule keeps; None when the operator is not known. NaN is missing."""
     name, operator, value = rule["column"], rule.get("operator", "=="), rule.get("value")
-    col = F.nanvl(c(name), F.lit(None).cast(type_of(df, name))) if is_float(df, name) else c(name)
+    col = c(name)
     if operator == "isin":
         return _one_of(name, list(value))
     if operator == "not_null":
         return ~missing(df, name)
     if operator == "is_null":
         return missing(df, name)
-    return {
+    if operator == "!=":
+        return missing(df, name) | (col != F.lit(value)) if value is not None else F.lit(True)
+    test = {
         "==": col == F.lit(value),
-        "!=": col.isNull() | (col != F.lit(value)) if value is not None else F.lit(True),
         ">": col > F.lit(value),
         "<": col < F.lit(value),
         ">=": col >= F.lit(value),
         "<=": col <= F.lit(value),
     }.get(operator)
+    # Two conditions, so that the comparison itself can be pushed into the scan.
+    return test & ~F.isnan(col) if test is not None and is_float(df, name) else test
 
 
 def _conditions(df: DataFrame, rules: Iterable[Rule]) -> list[tuple[Rule, Column]]:
@@ -205,30 +208,26 @@ def class_counts(df: DataFrame, label: str) -> DataFrame:
     return df.where(c(label).isNotNull()).groupBy(c(label)).agg(F.count(F.lit(1)).alias("count"))
 
 
-def _keep_classes(df: DataFrame, label: str, kept: DataFrame) -> DataFrame:
-    return df.join(kept.select(c(label)), on=label, how="left_semi").select(
-        *[c(n) for n in df.columns]
-    )
-
-
 def filter_minority_classes(df: DataFrame, label: str, min_count: int) -> DataFrame:
     """Keep labels with more than ``min_count`` rows; at least two must remain."""
     require(df, label)
     if min_count <= 0:
         return df
-    kept = settle(class_counts(df, label).where(F.col("count") > min_count))
-    found = kept.limit(2).count()
-    if found < 2:
-        raise ValueError(f"{found} label class(es) left; lower min_count to keep two or more")
-    return _keep_classes(df, label, kept)
+    return keep_larger_classes(df, class_tables(df, label, min_count + 1)[1])
+
+
+def keep_larger_classes(df: DataFrame, kept: ClassTable) -> DataFrame:
+    """The rows of the classes that are left; at least two must be."""
+    if kept.classes < 2:
+        raise ValueError(f"{kept.classes} label class(es) left; lower min_count to keep two or more")
+    return keep_classes(df, kept)
 
 
 def class_filter(df: DataFrame, label: str, min_samples: int = 2) -> DataFrame:
     """Keep labels with at least ``min_samples`` rows."""
     if label not in df.columns:
         return df
-    kept = settle(class_counts(df, label).where(F.col("count") >= min_samples))
-    return _keep_classes(df, label, kept)
+    return keep_classes(df, class_tables(df, label, min_samples)[1])
 
 
 def class_filter_report(df: DataFrame, label: str, min_samples: int = 2) -> DataFrame:
@@ -278,13 +277,11 @@ def dedup_by_key(
         return dedup_rows(df)
     key = present(df, key)
     names = df.columns
-    first = list(order_by or [])
-    order = order_struct([*first, *[n for n in names if n not in first]])
-    pick = {"first": F.min_by, "last": F.max_by}[keep]
-    best = df.groupBy(*[c(k) for k in key]).agg(
-        pick(F.struct(*[c(n) for n in names]), order).alias("row")
-    )
-    return best.select(*[F.col("row").getField(n).alias(n) for n in names])
+    ordered = list(dict.fromkeys([*(order_by or []), *names]))
+    pick = {"first": F.min, "last": F.max}[keep]
+    # The order holds every column, so the row is read out of it and travels once.
+    best = df.groupBy(*[c(k) for k in key]).agg(pick(order_struct(ordered)).alias("row"))
+    return best.select(*[F.col("row").getField(f"v{ordered.index(n)}").alias(n) for n in names])
 
 
 def duplicates_removed(df: DataFrame, key: Sequence[str] | None = None) -> DataFrame:

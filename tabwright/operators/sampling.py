@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions.columns import c, require
 from tabwright.operators.ordering import TASK_ROWS, hash_cuts, mark_cuts
 from tabwright.operators.rows import class_counts
-from tabwright.sources.shared import settle
+from tabwright.sources.shared import settle_with
 
 Key = Sequence[str] | str | None
 
@@ -27,10 +27,11 @@ def take_in_hash_order(
     key: Key,
     seed: int,
     task_rows: int = TASK_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
     """The first ``quota`` rows of every stratum; ``quotas`` has strata and ``quota``."""
     named = quotas.withColumn("cut", F.lit("keep"))
-    ends = hash_cuts(df, named, strata, key, seed, ["keep"], task_rows)
+    ends = hash_cuts(df, named, strata, key, seed, ["keep"], task_rows, rows)
     marked = mark_cuts(df, ends, strata, key, seed, {"keep": "__keep"})
     return marked.where("__keep").drop("__keep")
 
@@ -39,6 +40,12 @@ def _one_quota(df: DataFrame, rows: int) -> DataFrame:
     return df.sparkSession.range(1).select(F.lit(rows).cast("bigint").alias("quota"))
 
 
+def _quotas(counts: DataFrame, by: str, quota: Column) -> tuple[DataFrame, int]:
+    """Rows to take per stratum, written, and the rows of all strata."""
+    quotas, facts = settle_with(counts.select(c(by), "count", quota.alias("quota")), rows=F.sum("count"))
+    return quotas.drop("count"), facts["rows"] or 0
+
+
 def sample_stratified(
     df: DataFrame,
     label: str,
@@ -52,8 +59,9 @@ def sample_stratified(
     if not 0 < fraction < 1:
         return df
     quota = F.rint(F.col("count") * F.lit(float(fraction))).cast("bigint")
-    quotas = settle(class_counts(df, label).select(c(label), quota.alias("quota")))
-    return take_in_hash_order(df, quotas, [label], key, seed, task_rows)
+    labelled = df.where(c(label).isNotNull())
+    quotas, rows = _quotas(class_counts(df, label), label, quota)
+    return take_in_hash_order(labelled, quotas, [label], key, seed, task_rows, rows)
 
 
 def sample_random(
@@ -62,15 +70,16 @@ def sample_random(
     """``int(n * fraction)`` rows."""
     if not 0 < fraction < 1:
         return df
-    quotas = _one_quota(df, int(df.count() * fraction))
-    return take_in_hash_order(df, quotas, [], key, seed, task_rows)
+    total = df.count()
+    return take_in_hash_order(df, _one_quota(df, int(total * fraction)), [], key, seed, task_rows, total)
 
 
 def sample_size(
     df: DataFrame, rows: int, seed: int = 42, key: Key = None, task_rows: int = TASK_ROWS
 ) -> DataFrame:
     """``rows`` rows, or all of a smaller table."""
-    return take_in_hash_order(df, _one_quota(df, min(rows, df.count())), [], key, seed, task_rows)
+    total = df.count()
+    return take_in_hash_order(df, _one_quota(df, min(rows, total)), [], key, seed, task_rows, total)
 
 
 def _split_sizes(df: DataFrame, split: str) -> DataFrame:
@@ -86,9 +95,8 @@ def sample_rows(
     task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """``rows`` rows of every split for inspection, or all of a smaller split."""
-    quota = F.least(F.col("count"), F.lit(rows).cast("bigint"))
-    quotas = settle(_split_sizes(df, split).select(c(split), quota.alias("quota")))
-    return take_in_hash_order(df, quotas, [split], key, seed, task_rows)
+    quotas, total = _quotas(_split_sizes(df, split), split, F.least(F.col("count"), F.lit(rows).cast("bigint")))
+    return take_in_hash_order(df, quotas, [split], key, seed, task_rows, total)
 
 
 def subset_splits(
@@ -102,6 +110,5 @@ def subset_splits(
     """``int(n * ratio)`` rows of every split; a ratio of 1 or more leaves all."""
     if ratio >= 1:
         return df
-    quota = F.floor(F.col("count") * F.lit(float(ratio)))
-    quotas = settle(_split_sizes(df, split).select(c(split), quota.alias("quota")))
-    return take_in_hash_order(df, quotas, [split], key, seed, task_rows)
+    quotas, total = _quotas(_split_sizes(df, split), split, F.floor(F.col("count") * F.lit(float(ratio))))
+    return take_in_hash_order(df, quotas, [split], key, seed, task_rows, total)

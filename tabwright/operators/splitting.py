@@ -4,16 +4,16 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tabwright.functions.columns import c, require
+from tabwright.operators.classes import ClassTable, class_table
 from tabwright.operators.ordering import TASK_ROWS, hash_cuts, mark_cuts, number_rows
 from tabwright.operators.sampling import Key
-from tabwright.sources.shared import settle
+from tabwright.sources.shared import settle, settle_with
 
 
 def share_out(sizes: DataFrame, label: str, total: int, rows: int, classes: int) -> DataFrame:
@@ -45,34 +45,30 @@ def share_out(sizes: DataFrame, label: str, total: int, rows: int, classes: int)
     return ranked.select(c(label), "count", (F.col("quota") + extra).alias("quota"))
 
 
-@dataclass(frozen=True)
-class ClassSizes:
-    """Rows per label as a written table, with its totals."""
+def _both_shares(sizes: ClassTable, outer: int, inner: int) -> tuple[DataFrame, ClassTable]:
+    """Rows of each class in the outer part (``quota``) and in the inner part of it (``inner``).
 
-    table: DataFrame
-    rows: int
-    classes: int
-    smallest: int
-
-
-def class_sizes(counts: DataFrame) -> ClassSizes:
-    table = settle(counts)
-    row = table.agg(
-        F.coalesce(F.sum("count"), F.lit(0)),
-        F.count(F.lit(1)),
-        F.coalesce(F.min("count"), F.lit(0)),
-    ).first()
-    return ClassSizes(table, row[0], row[1], row[2])
-
-
-def _rows_per_label(df: DataFrame, label: str) -> ClassSizes:
-    """Rows without a label are a class of their own, so that none is lost."""
-    return class_sizes(df.groupBy(c(label)).agg(F.count(F.lit(1)).alias("count")))
+    Also the classes of the outer part. Both are shared out in one go and written.
+    """
+    label = sizes.label
+    shares = share_out(sizes.table, label, outer, sizes.rows, sizes.classes).drop("count")
+    held = shares.withColumnRenamed("quota", "count")
+    if sizes.classes > TASK_ROWS:
+        held = settle(held)
+    both = share_out(held, label, inner, outer, sizes.classes)
+    some = F.col("quota") > 0
+    table, facts = settle_with(
+        both.select(c(label), F.col("count").alias("quota"), F.col("quota").alias("inner")),
+        classes=F.count_if(some),
+        smallest=F.min(F.when(some, F.col("quota"))),
+    )
+    kept = table.where(some).select(c(label), F.col("quota").alias("count"))
+    return table, ClassTable(label, kept, outer, facts["classes"] or 0, facts["smallest"] or 0)
 
 
-def _quotas(df: DataFrame, shares: DataFrame | None, label: str, cut: str, total: int) -> DataFrame:
+def _quotas(df: DataFrame, shares: DataFrame | None, label: str, cut: str, total: int, quota: str = "quota") -> DataFrame:
     if shares is not None:
-        return shares.select(c(label), F.lit(cut).alias("cut"), "quota")
+        return shares.select(c(label), F.lit(cut).alias("cut"), F.col(quota).alias("quota"))
     return df.sparkSession.range(1).select(
         F.lit(cut).alias("cut"), F.lit(total).cast("bigint").alias("quota")
     )
@@ -83,11 +79,11 @@ def _two_cuts(
     label: str,
     seed: int,
     key: Key,
-    sizes: ClassSizes,
+    sizes: ClassTable,
     outer: int,
     inner: int,
     stratify_outer: bool,
-    stratify_inner: Callable[[ClassSizes], bool],
+    stratify_inner: Callable[[ClassTable], bool],
     names: tuple[str, str, str],
     task_rows: int,
 ) -> DataFrame:
@@ -98,35 +94,31 @@ def _two_cuts(
     """
     outside, middle, inside = names
     marks = {"outer": "__outer", "inner": "__inner"}
-    strata, shares, inner_shares = [], None, None
+    strata, shares, both_by_class = [], None, False
     if stratify_outer:
         strata = [label]
-        shares = settle(share_out(sizes.table, label, outer, sizes.rows, sizes.classes))
-        held = class_sizes(
-            shares.where("quota > 0").select(c(label), F.col("quota").alias("count"))
-        )
-        if stratify_inner(held):
-            inner_shares = share_out(held.table, label, inner, outer, held.classes)
+        shares, held = _both_shares(sizes, outer, inner)
+        both_by_class = stratify_inner(held)
     quotas = _quotas(df, shares, label, "outer", outer)
-    if inner_shares is not None or (not stratify_outer and not stratify_inner(sizes)):
+    if both_by_class or (not stratify_outer and not stratify_inner(sizes)):
         # The same groups in the same order twice: one set of passes finds both cuts.
-        quotas = quotas.unionByName(_quotas(df, inner_shares, label, "inner", inner))
-        ends = hash_cuts(df, quotas, strata, key, seed, list(marks), task_rows)
+        quotas = quotas.unionByName(_quotas(df, shares, label, "inner", inner, "inner"))
+        ends = hash_cuts(df, quotas, strata, key, seed, list(marks), task_rows, sizes.rows)
         marked = mark_cuts(df, ends, strata, key, seed, marks)
     else:
-        ends = hash_cuts(df, quotas, strata, key, seed, ["outer"], task_rows)
+        ends = hash_cuts(df, quotas, strata, key, seed, ["outer"], task_rows, sizes.rows)
         marked = mark_cuts(df, ends, strata, key, seed, {"outer": "__outer"})
         # Only the rows of the outer part count; copies of one row may lie on both sides.
         rest = marked.where("__outer")
-        inner_strata = ["__outer"]
+        inner_strata, inner_shares = ["__outer"], None
         if not stratify_outer:
-            held = _rows_per_label(rest, label)
+            held = class_table(rest, label)
             if stratify_inner(held):
                 inner_strata = [label, "__outer"]
                 inner_shares = share_out(held.table, label, inner, outer, held.classes)
         quotas = _quotas(df, inner_shares, label, "inner", inner).withColumn("__outer", F.lit(True))
         key = key or df.columns
-        ends = hash_cuts(rest, quotas, inner_strata, key, seed, ["inner"], task_rows)
+        ends = hash_cuts(rest, quotas, inner_strata, key, seed, ["inner"], task_rows, outer)
         marked = mark_cuts(marked, ends, inner_strata, key, seed, {"inner": "__inner"})
     split = (
         F.when(F.col("__outer") & F.col("__inner"), F.lit(inside))
@@ -145,13 +137,15 @@ def split_two_step(
     key: Key = None,
     stratify: bool = True,
     task_rows: int = TASK_ROWS,
+    classes: ClassTable | None = None,
 ) -> DataFrame:
     """Hold out ``test_size`` of the rows, then cut the hold-out again.
 
     ``test`` gets ``val_size / test_size`` of the hold-out and ``valid`` the rest of it,
     so with sizes 0.05 and 0.03 they get 3 % and 2 % of the table. Both cuts keep the
     class shares where every class has two rows or more and both parts have room for
-    every class; otherwise that cut is plainly random.
+    every class; otherwise that cut is plainly random. ``classes`` are those of ``df``,
+    if they are counted already.
     """
     require(df, label)
     if not 0 < test_size < 1:
@@ -160,14 +154,14 @@ def split_two_step(
         raise ValueError("val_size must be between 0 and 1")
     if val_size >= test_size:
         raise ValueError("val_size must be smaller than test_size")
-    sizes = _rows_per_label(df, label)
+    sizes = classes or class_table(df, label)
     outer = math.ceil(test_size * sizes.rows)
     inner = math.ceil(val_size / test_size * outer)
 
-    def fits(part: int, of: ClassSizes) -> bool:
+    def fits(part: int, of: ClassTable) -> bool:
         return stratify and of.smallest >= 2 and min(part, of.rows - part) >= of.classes
 
-    def fits_inner(held: ClassSizes) -> bool:
+    def fits_inner(held: ClassTable) -> bool:
         return fits(inner, held) and held.classes == sizes.classes
 
     return _two_cuts(
@@ -186,20 +180,22 @@ def split_ratios(
     key: Key = None,
     min_samples_per_class: int = 2,
     task_rows: int = TASK_ROWS,
+    classes: ClassTable | None = None,
 ) -> DataFrame:
     """Train / val / test by ratio.
 
     A cut keeps the class shares when the smallest class it sees has at least
-    ``min_samples_per_class`` rows and is plainly random otherwise.
+    ``min_samples_per_class`` rows and is plainly random otherwise. ``classes`` are those
+    of ``df``, if they are counted already.
     """
     require(df, label)
     if not 0 < test_ratio < 1 or not 0 < val_ratio or not 0 < train_ratio:
         raise ValueError("ratios must be positive and test_ratio below 1")
-    sizes = _rows_per_label(df, label)
+    sizes = classes or class_table(df, label)
     test = math.ceil(test_ratio * sizes.rows)
     val = math.ceil(val_ratio / (train_ratio + val_ratio) * (sizes.rows - test))
 
-    def enough(of: ClassSizes) -> bool:
+    def enough(of: ClassTable) -> bool:
         return of.smallest >= min_samples_per_class
 
     # The first cut takes everything but the test rows, the second the val rows of those.

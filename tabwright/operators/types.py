@@ -14,7 +14,7 @@ from tabwright.functions.columns import c, present, type_of
 from tabwright.functions.dates import first_digits, yyyymmdd
 from tabwright.functions.numbers import to_double, whole_text
 from tabwright.operators.profile import distinct_counts
-from tabwright.sources.shared import settle
+from tabwright.sources.shared import settle, settle_with
 
 
 def _named(df: DataFrame, token: str) -> list[str]:
@@ -98,8 +98,12 @@ _RANGES = [
 ]
 
 
+#: A sketched share of distinct values this far from the limit decides; its error is 2 %.
+_CLEAR = 0.2
+
+
 def narrow_report(
-    df: DataFrame, category_ratio: float = 0.5, exclude: Iterable[str] = ()
+    df: DataFrame, category_ratio: float = 0.5, exclude: Iterable[str] = (), exact: bool = True
 ) -> DataFrame:
     """What each column could be stored as.
 
@@ -107,7 +111,17 @@ def narrow_report(
     distinct_count, category_candidate``. Long columns shrink to the smallest integer
     type that holds their range, doubles to float when no value moves by more than the
     tolerance, text columns are category candidates below the distinct ratio.
+
+    With ``exact=False`` distinct values are sketched in the pass that finds the ranges;
+    only columns whose sketch is within a fifth of the ratio are counted, so the
+    candidates are the same, and ``distinct_count`` is an estimate for all others.
     """
+    return _narrow_report(df, category_ratio, exclude, exact).drop("rows")
+
+
+def _narrow_report(
+    df: DataFrame, category_ratio: float, exclude: Iterable[str], exact: bool
+) -> DataFrame:
     skip = set(exclude)
     longs = [f.name for f in df.schema if isinstance(f.dataType, T.LongType) and f.name not in skip]
     doubles = [
@@ -122,7 +136,15 @@ def narrow_report(
     for i, n in enumerate(doubles):
         moved = F.abs(c(n).cast("float").cast("double") - c(n)) > F.lit(FLOAT_TOLERANCE)
         spots.append(F.max(F.when(~F.isnan(c(n)), moved)).alias(f"mv{i}"))
+    if not exact:
+        spots += [F.approx_count_distinct(c(n), 0.02).alias(f"d{i}") for i, n in enumerate(texts)]
     base = df.agg(*spots)
+    counted = texts
+    if not exact:
+        base = settle(base)
+        known = base.first()
+        limit = category_ratio * known["rows"]
+        counted = [n for i, n in enumerate(texts) if abs(known[f"d{i}"] - limit) <= _CLEAR * limit]
 
     entries = []
     for f in df.schema:
@@ -145,11 +167,12 @@ def narrow_report(
                 lo.alias("min_value"),
                 hi.alias("max_value"),
                 F.col("rows"),
+                (F.col(f"d{texts.index(n)}") if n in texts and n not in counted else F.lit(None).cast("bigint")).alias("about"),
             )
         )
     report = base.select(F.inline(F.array(*entries)))
-    counts = distinct_counts(df, texts)
-    return report.join(counts, "column", "left").select(
+    counts = distinct_counts(df, counted).withColumnRenamed("distinct_count", "found")
+    return report.join(counts, "column", "left").withColumn("distinct_count", F.coalesce("found", "about")).select(
         "column",
         "from_type",
         "to_type",
@@ -157,19 +180,30 @@ def narrow_report(
         "max_value",
         "distinct_count",
         F.coalesce(
-            F.col("distinct_count") / F.col("rows") < F.lit(category_ratio), F.lit(False)
+            F.col("distinct_count") / F.nullif(F.col("rows"), F.lit(0)) < F.lit(category_ratio), F.lit(False)
         ).alias("category_candidate"),
+        "rows",
     )
 
 
 def narrow_types(
-    df: DataFrame, category_ratio: float = 0.5, exclude: Iterable[str] = ()
+    df: DataFrame, category_ratio: float = 0.5, exclude: Iterable[str] = (), exact: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """Cast every column to the type of its report row; returns (table, report).
 
     Parquet dictionary encoding already stores categories, so those are only reported.
     """
-    report = settle(narrow_report(df, category_ratio, exclude))
+    narrowed, report, _ = narrow_and_count(df, category_ratio, exclude, exact)
+    return narrowed, report
+
+
+def narrow_and_count(
+    df: DataFrame, category_ratio: float = 0.5, exclude: Iterable[str] = (), exact: bool = True
+) -> tuple[DataFrame, DataFrame, int]:
+    """``narrow_types`` and the rows of the table, which the report counts anyway."""
+    found = _narrow_report(df, category_ratio, exclude, exact)
+    report, facts = settle_with(found, rows=F.max("rows"))
+    report = report.drop("rows")
     target = {row["column"]: row["to_type"] for row in report.select("column", "to_type").collect()}
     changed = {f.name: target[f.name] for f in df.schema if target[f.name] != f.dataType.simpleString()}
-    return _replace(df, {n: c(n).cast(t) for n, t in changed.items()}), report
+    return _replace(df, {n: c(n).cast(t) for n, t in changed.items()}), report, facts["rows"] or 0

@@ -15,6 +15,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 
 from tabwright.functions.columns import c, require
+from tabwright.operators.classes import class_tables, keep_classes
 from tabwright.operators.group_features import (
     ZScoreConfig,
     outlier_summary,
@@ -26,6 +27,7 @@ from tabwright.operators.labels import (
     label_mapping_create,
     label_mapping_update,
     mapping_summary,
+    with_label_names,
 )
 from tabwright.operators.lookup import day_type3
 from tabwright.operators.naming import (
@@ -36,7 +38,6 @@ from tabwright.operators.naming import (
 )
 from tabwright.operators.profile import class_distribution, column_statistics, split_stats
 from tabwright.operators.rows import (
-    class_filter,
     dedup_by_key,
     drop_nulls,
     row_filter_report,
@@ -46,7 +47,8 @@ from tabwright.operators.rows import (
 from tabwright.operators.splitting import split_ratios
 from tabwright.operators.text import serialize_rows_patterns
 from tabwright.operators.tokens import token_analysis
-from tabwright.operators.types import narrow_types
+from tabwright.operators.trace import RowTrace, traced
+from tabwright.operators.types import narrow_and_count
 from tabwright.sources.packaging import package_dataset
 from tabwright.sources.shared import checkpoint_stage
 
@@ -83,6 +85,8 @@ class StagedConfig:
     token_sample: int = 0
     narrow: bool = True
     profile: bool = True
+    count_rows: bool = True
+    named_labels: int = 1000
 
 
 def staged_text(
@@ -93,6 +97,7 @@ def staged_text(
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Returns ``(split, labels, text, original_labels)`` rows and the reports by name.
 
+    ``row_counts`` among the reports has the rows in, out and removed per step.
     ``mapping`` is the label mapping of an earlier run, whose ids stay. With
     ``package_to`` the result is also written as a package.
     """
@@ -101,26 +106,38 @@ def staged_text(
 
     df, renamed = rename_from_mapping(raw, config.names)
     require(df, target)
+    trace = RowTrace() if config.count_rows else None
     if config.narrow:
-        df, reports["types"] = narrow_types(df, 0.3, [target])
+        df, reports["types"], rows = narrow_and_count(df, 0.3, [target], exact=False)
+        if trace:
+            trace.known("input", rows)
 
     missing = missing_columns(df, config.required)
     if config.profile:
         reports["columns"] = column_statistics(df)
     if config.rules:
         reports["row_filters"] = row_filter_report(df, config.rules)
-    df = row_filters(df, config.rules)
-
+    if not config.narrow:
+        df = traced(trace, "input", df)
+    df = traced(trace, "row filters", row_filters(df, config.rules))
     df = stage_filters(drop_columns(df, config.exclude_columns), config.stage_filters)
-    df = drop_nulls(df, config.drop_null_columns)
+    df = traced(trace, "stage filters", df)
+    df = traced(trace, "incomplete rows", drop_nulls(df, config.drop_null_columns))
     if config.dedup_key:
         df = dedup_by_key(df, config.dedup_key, config.dedup_keep, config.dedup_order)
+        df = traced(trace, "duplicates", df)
     df = checkpoint_stage(df, "cleaned")
-    df = class_filter(df, target, config.min_samples)
-    reports["classes"], reports["class_summary"] = class_distribution(df, target)
+    classes = class_tables(df, target, config.min_samples)[1]
+    df = keep_classes(df, classes)
+    if trace:
+        trace.known("small classes", classes.rows)
+        reports["row_counts"] = trace.report(df.sparkSession)
+    reports["classes"], reports["class_summary"] = class_distribution(df, target, classes=classes)
 
     if mapping is None:
-        mapping = label_mapping_create(df, target, config.total_classes, config.dummy_prefix)
+        mapping = label_mapping_create(
+            df, target, config.total_classes, config.dummy_prefix, classes
+        )
     else:
         mapping = label_mapping_update(
             df, target, mapping, config.total_classes, config.dummy_prefix
@@ -144,7 +161,7 @@ def staged_text(
 
     df = split_ratios(
         df, target, config.train_ratio, config.val_ratio, config.test_ratio,
-        config.seed, config.key, config.min_samples_per_class,
+        config.seed, config.key, config.min_samples_per_class, classes=classes,
     )
     df = checkpoint_stage(df, "split")
     reports["splits"] = split_stats(df)
@@ -154,6 +171,8 @@ def staged_text(
         encode_labels(df, mapping, target), target, features,
         config.separator, config.key_value_separator, True, config.replacement,
     )
+    if config.total_classes <= config.named_labels:
+        text = with_label_names(text, mapping)
     reports["token_stats"], reports["token_bands"] = token_analysis(
         text, sample=config.token_sample, seed=config.seed
     )

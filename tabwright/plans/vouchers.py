@@ -7,13 +7,16 @@ them: once as the base table, after its duplicates are gone.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame
 
-from tabwright.operators.labels import encode_labels, label_slots
+from tabwright.functions.columns import FLOATS, INTEGERS, c, present, type_of
+from tabwright.operators.classes import ClassTable, class_table, class_tables
+from tabwright.operators.labels import encode_labels, label_slots, with_label_names
 from tabwright.operators.lookup import day_type2, normalize_codes_to_text
 from tabwright.operators.naming import drop_columns, select_features, standardize_columns
 from tabwright.operators.profile import missing_stats, table_metadata
@@ -21,7 +24,7 @@ from tabwright.operators.rows import (
     dedup_rows,
     drop_nulls,
     drop_rows,
-    filter_minority_classes,
+    keep_larger_classes,
     keep_rows,
     range_filter,
 )
@@ -29,6 +32,7 @@ from tabwright.operators.sampling import sample_random, sample_stratified
 from tabwright.operators.splitting import split_two_step
 from tabwright.operators.text import prepare_text_fields, serialize_rows, text_length_stats
 from tabwright.operators.tokens import Encoder, token_length_report, tokenize_text
+from tabwright.operators.trace import RowTrace, traced
 from tabwright.operators.types import transform_dtype
 from tabwright.sources.shared import checkpoint_stage
 
@@ -52,34 +56,81 @@ class BaseTableConfig:
     min_label_count: int = 0
 
 
+def possible_rows(named: DataFrame, config: BaseTableConfig) -> DataFrame:
+    """The rows that the rules may keep, by the columns as they are stored.
+
+    Rules look at codes as text, behind casts that no scan can see through. What they
+    imply for stored numbers is a plain condition on the stored column, which reaches the
+    scan; the rules themselves stay above it. Codes in rows that go here are not checked.
+    """
+    for name in present(named, config.dropna_columns):
+        named = named.where(c(name).isNotNull())
+    for rule in config.keep:
+        name, values = rule.get("column"), list(rule.get("values") or [])
+        if name not in named.columns or not values or None in values:
+            continue
+        if any(token in name.lower() for token in ("date", "amount")):
+            continue
+        kind = type_of(named, name)
+        if isinstance(kind, INTEGERS):
+            numbers = [int(v) for v in map(str, values) if re.fullmatch(r"-?\d{1,18}", v)]
+        elif isinstance(kind, FLOATS):
+            numbers = [float(v) for v in map(str, values) if re.fullmatch(r"-?\d+(\.\d+)?", v)]
+        else:
+            continue
+        if numbers and len(numbers) == len(values):
+            named = named.where(c(name).isin(numbers))
+    return named
+
+
 def standardized(raw: DataFrame, config: BaseTableConfig) -> DataFrame:
     """Standard names and types."""
     return transform_dtype(standardize_columns(raw, config.column_names))
 
 
-def cleaned(df: DataFrame, config: BaseTableConfig) -> DataFrame:
+def cleaned(df: DataFrame, config: BaseTableConfig, trace: RowTrace | None = None) -> DataFrame:
     """Duplicates, incomplete rows, unwanted rows and columns out; codes to text.
 
     The row filters stand before the duplicate removal. They look at one row at a time
     and treat copies alike, so the result is the same, and the shuffle over all columns
     only sees rows that stay.
     """
-    df = drop_nulls(df, config.dropna_columns)
-    df = drop_rows(keep_rows(df, config.keep), config.drop)
+    df = traced(trace, "incomplete rows", drop_nulls(df, config.dropna_columns))
+    df = traced(trace, "kept values", keep_rows(df, config.keep))
+    df = traced(trace, "dropped values", drop_rows(df, config.drop))
     if config.remove_duplicates:
-        df = dedup_rows(df)
+        df = traced(trace, "duplicates", dedup_rows(df))
     df = normalize_codes_to_text(drop_columns(df, config.exclude_columns), config.code_maps)
     if config.amount_column:
         df = range_filter(df, config.amount_column, config.min_amount, config.max_amount)
+        df = traced(trace, "amounts", df)
     return df
 
 
-def base_table(raw: DataFrame, config: BaseTableConfig) -> DataFrame:
-    """Raw table to features and label, written once; small classes removed."""
-    df = cleaned(standardized(raw, config), config)
-    df = day_type2(df, config.holidays, config.date_column)
+def base_table(raw: DataFrame, config: BaseTableConfig, trace: RowTrace | None = None) -> DataFrame:
+    """Raw table to features and label, written once; small classes removed.
+
+    A ``trace`` gets the rows of each step.
+    """
+    return base_and_classes(raw, config, trace)[0]
+
+
+def base_and_classes(
+    raw: DataFrame, config: BaseTableConfig, trace: RowTrace | None = None
+) -> tuple[DataFrame, ClassTable]:
+    """``base_table``, and its classes for the steps after it."""
+    if trace is None:
+        df = transform_dtype(possible_rows(standardize_columns(raw, config.column_names), config))
+    else:
+        df = trace.step("raw", standardized(raw, config))
+    df = day_type2(cleaned(df, config, trace), config.holidays, config.date_column)
     df = checkpoint_stage(select_features(df, config.features, config.label), "base_table")
-    return filter_minority_classes(df, config.label, config.min_label_count)
+    every, kept = class_tables(df, config.label, config.min_label_count + 1)
+    if config.min_label_count > 0:
+        df, every = keep_larger_classes(df, kept), kept
+    if trace is not None:
+        trace.known("small classes", every.rows)
+    return df, every
 
 
 def ingestion_reports(raw: DataFrame, config: BaseTableConfig) -> tuple[DataFrame, DataFrame]:
@@ -104,12 +155,17 @@ class TextConfig:
     include_column_names: bool = True
     unknown_id: int = 0
     slot_order: Sequence[str] | None = None
+    named_labels: int = 1000
 
 
-def labelled_text(base: DataFrame, config: TextConfig) -> tuple[DataFrame, DataFrame]:
+def labelled_text(
+    base: DataFrame, config: TextConfig, classes: ClassTable | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Sample, split, encode the label and write each row as text.
 
-    Returns ``(split, labels, text)`` rows and the label slots.
+    Returns ``(split, labels, text)`` rows and the label slots. The classes are counted
+    once, for slots and shares alike, unless ``classes`` of ``base`` are given. The ids
+    carry their label names where there are no more than ``named_labels`` slots.
     """
     if config.extract_ratio and 0 < config.extract_ratio < 1:
         if config.stratify_extract:
@@ -118,9 +174,11 @@ def labelled_text(base: DataFrame, config: TextConfig) -> tuple[DataFrame, DataF
             )
         else:
             base = sample_random(base, config.extract_ratio, config.extract_seed, config.key)
-    slots = label_slots(base, config.label, config.max_classes, config.slot_order)
+        classes = None
+    classes = classes or class_table(base, config.label)
+    slots = label_slots(base, config.label, config.max_classes, config.slot_order, classes)
     split = split_two_step(
-        base, config.label, config.test_size, config.val_size, config.seed, config.key
+        base, config.label, config.test_size, config.val_size, config.seed, config.key, classes=classes
     )
     coded = encode_labels(split, slots, config.label, config.unknown_id)
     ready = prepare_text_fields(coded, config.text_columns, config.label)
@@ -132,6 +190,8 @@ def labelled_text(base: DataFrame, config: TextConfig) -> tuple[DataFrame, DataF
         config.include_column_names,
         config.label,
     )
+    if config.max_classes <= config.named_labels:
+        text = with_label_names(text, slots)
     return text, slots
 
 

@@ -13,8 +13,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 _LOCAL: dict[str, str] = {}
@@ -44,6 +45,20 @@ def settle(df: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settle_with(df: DataFrame, path: str | None = None, /, **facts: Column) -> tuple[DataFrame, dict[str, Any]]:
+    """``settle``, and aggregates over the written rows that cost no job of their own.
+
+    The aggregates stand on top of the plan, in the tasks that write. Spark counts those
+    once however often tasks or the stages below run.
+    """
+    watch = Observation()
+    written = settle(df.observe(watch, *[fact.alias(name) for name, fact in facts.items()]), path)
+    found = watch.get
+    if len(found) < len(facts):  # a plan that Spark finds to be empty is not observed
+        found = written.agg(*[fact.alias(name) for name, fact in facts.items()]).first().asDict()
+    return written, found
+
+
 def checkpoint_stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Keep the output of a stage under its name and go on from the written copy.
 
