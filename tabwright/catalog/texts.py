@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabwright.catalog.base import ORDER_DAY, compact_date, query, r, rounded, table
+from tabwright.catalog.base import ORDER_DAY, compact_date, fresh_path, query, r, rounded, table
 from tabwright.fixed_values import MISSING_PATTERNS, MISSING_TEXT, WORD_SPACE
 from tabwright.operators import text, tokens
 
@@ -292,3 +292,13 @@ def _(spark, folder):
 def _(spark, folder):
     found = tokens.tokenize_text(table(spark, folder, "documents").select("text"))
     return rounded(tokens.recommend_max_length(found))
+
+
+@query("tokenize_text_ids")
+def _(spark, folder):
+    # Ids of a public vocabulary; no SQL can say them, tests compare them one by one.
+    import public_tokenizers
+
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return tokens.tokenize_once(documents, fresh_path(spark, "token_ids"), vocabulary, max_length=256)[0]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -14,6 +15,7 @@ from tabwright.functions.columns import c, require
 from tabwright.functions.text import word_count, words
 from tabwright.operators.sampling import Key, sample_size
 from tabwright.sources.shared import settle
+from tabwright.sources.tables import materialize_once
 
 Encoder = Callable[[list[str]], list[list[int]]]
 
@@ -87,6 +89,35 @@ def tokenize_text(
     return df.mapInArrow(encode, schema)
 
 
+def file_encoder(path: str) -> Callable[[], Encoder]:
+    """An encoder from a vocabulary file, for ``tokenize_text``; each task loads it once.
+
+    The file must be where tasks run. Strings of special tokens in a text are ordinary
+    text, and none are added.
+    """
+
+    def load() -> Encoder:
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True
+        return lambda texts: [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    return load
+
+
+def tokenize_once(
+    df: DataFrame, path: str, vocabulary: str, text: str = "text", max_length: int | None = None
+) -> tuple[DataFrame, bool]:
+    """``tokenize_text`` by a vocabulary file, written to ``path`` unless it is there already.
+
+    The rows, the vocabulary's path and ``max_length`` must be the same for that; returns
+    the written table and whether it was written now.
+    """
+    make = partial(tokenize_text, text=text, max_length=max_length, make_encoder=file_encoder(vocabulary))
+    return materialize_once(df, path, f"tokens of {text} by {vocabulary}, at most {max_length}", make=make)
+
+
 def _lengths(df: DataFrame, names: Sequence[str], by: str | None = None) -> DataFrame:
     """Rows per combination of lengths: as many rows as there are different lengths."""
     keys = ([c(by).alias("split")] if by else []) + [c(n) for n in names]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tabwright.functions.columns import FLOATS, c
 from tabwright.functions.hashing import row_fingerprint
+from tabwright.sources.shared import listed, remove
 
 
 def fold_nan(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
@@ -83,14 +84,18 @@ def materialize_once(
     source: str,
     label: str | None = None,
     rows_per_file: int = 1_000_000,
+    make: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, bool]:
     """Write ``df`` to ``path`` unless the same rows from the same source are there.
 
-    Returns the written table and whether it was written now. Rows with other column
+    With ``make`` what it gives of ``df`` is written, and ``df`` still tells whether that
+    is there already, so costly work is not done twice. ``source`` should then name the
+    settings of ``make`` as well. Returns the written table and whether it was written now. Rows with other column
     names or types, or another ``label``, are not the same. Data goes to a new folder
     first and then a new manifest next to the old ones, of which the newest counts, so a
-    run that dies half-way leaves the earlier copy valid. The manifest also holds the
-    number of classes of ``label``.
+    run that dies half-way leaves the earlier copy valid. Once the new copy counts, all
+    but it and the one before (which may still be read) are removed. The manifest also
+    holds the number of classes of ``label``.
     """
     spark = df.sparkSession
     path = path.rstrip("/")
@@ -102,7 +107,7 @@ def materialize_once(
     if before and all(before.get(k) == found[k] for k in same):
         return spark.read.parquet(before["data"]), False
     data = f"{path}/data-{time.time_ns()}"
-    df.write.option("maxRecordsPerFile", rows_per_file).option("compression", "zstd").parquet(data)
+    (make(df) if make else df).write.option("maxRecordsPerFile", rows_per_file).option("compression", "zstd").parquet(data)
     written = spark.read.parquet(data)
     classes = written.select(label).distinct().count() if label else None
     manifest = {
@@ -112,6 +117,10 @@ def materialize_once(
     }
     # A folder of its own: the earlier manifest stays until this one is complete.
     text_rows(spark, manifest).coalesce(1).write.text(f"{path}/manifest/at={time.time_ns()}")
+    used = {data, before["data"] if before else data}
+    used = {p.rsplit("/", 1)[1] for p in used}
+    old = [p for p in listed(spark, path) if p.rsplit("/", 1)[1].startswith("data-") and p.rsplit("/", 1)[1] not in used]
+    remove(spark, [*old, *listed(spark, f"{path}/manifest")[:-2]])
     return written, True
 
 
