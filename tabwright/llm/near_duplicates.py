@@ -132,12 +132,23 @@ def _compare(batches: Iterator[pa.RecordBatch], n: int, percent: int) -> Iterato
         )
 
 
-def _links(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (``a``, ``b``) whose full sets are near enough."""
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    texts = settle(
-        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(wanted, F.col("doc_id") == F.col("id"), "left_semi")
+def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Settled: ids and texts of the documents whose id is in the only column of ``wanted``."""
+    ids = wanted.toDF("id").distinct()
+    return settle(
+        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(ids, F.col("doc_id") == F.col("id"), "left_semi")
     )
+
+
+def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose numbers of shingles allow the similarity; no text is met for the others."""
+    size = lambda s: classes.select(F.col("least").alias(f"id_{s}"), F.col("n_shingles").alias(f"n_{s}"))
+    met = pairs.join(size("a"), F.col("a") == F.col("id_a")).join(size("b"), F.col("b") == F.col("id_b"))
+    return met.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).select("a", "b")
+
+
+def _links(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (``a``, ``b``) whose full sets are near enough."""
     side = lambda s: texts.select(F.col("doc_id").alias(f"id_{s}"), F.col("text").alias(f"text_{s}"))
     met = pairs.join(side("a"), F.col("a") == F.col("id_a")).join(side("b"), F.col("b") == F.col("id_b"))
     return (
@@ -309,6 +320,8 @@ def find_links(classes: DataFrame, docs: DataFrame, n: int = SHINGLE, percent: i
     members = settle(_members(classes))
     if not members.limit(1).count():
         return None
+    # The one time that all texts are dealt by id; later steps choose among these.
+    texts = _texts_of(docs, members.select("doc"))
     found: list[DataFrame] = []
     components: DataFrame | None = None
     checked: DataFrame | None = None
@@ -318,7 +331,7 @@ def find_links(classes: DataFrame, docs: DataFrame, n: int = SHINGLE, percent: i
         nonlocal checked
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        pairs = settle(pairs)
+        pairs = settle(_possible(pairs, classes, percent))
         checked = pairs if checked is None else checked.unionByName(pairs)
         return add(_links(pairs, source, n, percent))
 
@@ -331,27 +344,23 @@ def find_links(classes: DataFrame, docs: DataFrame, n: int = SHINGLE, percent: i
         components = settle(connected_components(reduce(DataFrame.unionByName, found)))
         return True
 
-    check(_pairs(members.withColumn("component", F.col("doc")), 0), docs)
+    check(_pairs(members.withColumn("component", F.col("doc")), 0), texts)
     left = settle(_placed(members, components if components is not None else _no_components(members)))
     few = _pairs(left.where(F.col("held") < FEW), None)
-    crowded = left.where(F.col("held") >= FEW).select("doc").distinct()
-    texts = settle(
-        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-        .join(settle(crowded), F.col("doc_id") == F.col("doc"), "left_semi")
-    )
-    dealt = settle(_by_rare_shingles(texts, n, percent))
+    crowded = _texts_of(texts, left.where(F.col("held") >= FEW).select("doc"))
+    dealt = settle(_by_rare_shingles(crowded, n, percent))
     size = dealt.count()
-    check(few, docs)
+    check(few, _texts_of(texts, left.where(F.col("held") < FEW).select("doc")))
     for turn in range(1, _PIVOT_ROUNDS + 2):
         placed = settle(_placed(dealt, components if components is not None else _no_components(members)))
         still = _open_pairs(placed)
         if not still:
             break
         if still <= size:
-            check(_pairs(placed, None), texts)
+            check(_pairs(placed, None), crowded)
             break
-        if turn > _PIVOT_ROUNDS or not check(_pairs(placed, turn), texts):
-            add(_family_links(placed, texts, n, percent))
+        if turn > _PIVOT_ROUNDS or not check(_pairs(placed, turn), crowded):
+            add(_family_links(placed, crowded, n, percent))
             break
     return components
 
