@@ -12,6 +12,10 @@ from tabwright.operators.profile import split_stats
 from tabwright.sources.tables import text_rows, write_report, write_splits
 
 
+#: A package lists its splits in one record.
+MOST_SPLITS = 1000
+
+
 def package_dataset(
     df: DataFrame,
     path: str,
@@ -30,8 +34,10 @@ def package_dataset(
     path = path.rstrip("/")
     write_splits(df, f"{path}/data", split)
     stats = split_stats(spark.read.parquet(f"{path}/data"), split)
-    # One row per split name.
-    sizes = {row["split"]: {"rows": row["rows"], "ratio": row["ratio"]} for row in stats.collect()}
+    rows = stats.limit(MOST_SPLITS + 1).collect()
+    if len(rows) > MOST_SPLITS:
+        raise ValueError(f"{split} has more than {MOST_SPLITS} values and names no splits")
+    sizes = {row["split"]: {"rows": row["rows"], "ratio": row["ratio"]} for row in rows}
     record = {
         **info,
         "package_version": version,

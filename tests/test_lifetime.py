@@ -92,3 +92,26 @@ def test_ids_of_a_vocabulary_file(spark, tmp_path):
     assert {r["doc_id"]: r["raw_length"] for r in first.collect()} == {1: len(plain.encode("a <|endoftext|> b", add_special_tokens=False).ids), 2: 0, 3: 0}
     assert tokenize_once(df, str(tmp_path / "ids"), vocabulary, max_length=2)[1]
     assert tokenize_once(df.where("doc_id < 3"), str(tmp_path / "ids"), vocabulary, max_length=2)[1]
+
+
+def test_fingerprints_tell_tables_apart(spark):
+    from tabwright.sources.tables import table_fingerprint
+
+    df = spark.range(50).selectExpr("id", "if(id % 5 = 0, null, concat('t', id)) as t")
+    of = lambda d: tuple(table_fingerprint(d).first())
+    same = of(df)
+    assert of(df.repartition(7, "t")) == same
+    others = [
+        df.where("id != 3"), df.unionByName(df.where("id = 3")), df.selectExpr("id", "if(id = 3, 'x', t) as t"),
+        df.selectExpr("id", "coalesce(t, '') as t"), df.where("id != 3").unionByName(df.where("id = 4")),
+    ]
+    assert len({of(d) for d in others} | {same}) == len(others) + 1
+
+
+def test_a_package_needs_a_split_column(spark, tmp_path, monkeypatch):
+    from tabwright.sources import packaging
+
+    monkeypatch.setattr(packaging, "MOST_SPLITS", 20)
+    df = spark.range(30).selectExpr("id as split", "'x' as text")
+    with pytest.raises(ValueError):
+        packaging.package_dataset(df.repartition(1), str(tmp_path / "package"), {})
