@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,8 +68,22 @@ def numbered(df: DataFrame, parts: Sequence[str], bucket: str, order: Sequence[C
     )
 
 
+def runs_of_bytes(column: pa.Array, most: int, rows: int = 4096) -> Iterator[tuple[int, int]]:
+    """Ranges (first, one past the last) of a binary column with at most ``most`` bytes and
+    ``rows`` rows, or one row. Python values of a whole Arrow batch may not fit a task."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    begin = total = 0
+    for i, size in enumerate(sizes):
+        if i > begin and (total + size > most or i - begin == rows):
+            yield begin, i
+            begin, total = i, 0
+        total += size
+    if begin < len(sizes):
+        yield begin, len(sizes)
+
+
 def schema_like(df: DataFrame, *more: T.StructField) -> T.StructType:
     return T.StructType([*df.schema.fields, *more])
 
 
-__all__ = ["BLANKS", "crc32_of_id", "documents", "numbered", "schema_like", "settle", "word_count", "words_of"]
+__all__ = ["BLANKS", "crc32_of_id", "documents", "numbered", "runs_of_bytes", "schema_like", "settle", "word_count", "words_of"]

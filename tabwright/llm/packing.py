@@ -23,15 +23,16 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import partial
-from itertools import chain, repeat
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.common import settle
+from tabwright.llm.common import runs_of_bytes, settle
 
 LENGTH = 2048
 END = 1
@@ -41,6 +42,8 @@ GROUP = 50_000
 CUTTABLE = 8
 _SEED = 5
 _KNOWN_WORDS = 700_000
+#: Texts encoded in one go have so many bytes, or are one text.
+_RUN_BYTES = 1 << 22
 PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, ids binary, part bigint"
 PLACED = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
@@ -49,17 +52,17 @@ PLACED = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_toke
 _MARK = "<|startoftext|>"
 
 
-#: Signs that the vocabulary's splitting parts from the letters before them.
-_ENDS = b".,!?;:&#$%*"
+#: A Latin letter (below U+0250; all but U+0130 stay letters in lower case) and a sign that
+#: the vocabulary's splitting parts from it.
+_LETTER_AND_SIGN = r"([A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}])([.,!?;:&#$%*])"
 
 
-def _plain_letters(word: bytes) -> bool:
-    """Whether a word is of Latin letters (below U+0250) alone.
-
-    All but one of these stay letters in lower case.
-    """
-    text = word.decode()
-    return text.isalpha() and max(text) < "\u0250" and "\u0130" not in text
+def _room(array: np.ndarray, size: int) -> np.ndarray:
+    if size <= array.size:
+        return array
+    out = np.zeros(max(size, 2 * array.size), array.dtype)
+    out[: array.size] = array
+    return out
 
 
 class Encoder:
@@ -83,14 +86,18 @@ class Encoder:
 
     def _forget(self) -> None:
         self._known: dict[bytes, int] = {}
-        self._starts = np.zeros(1, np.int64)
-        self._flat = np.empty(0, np.uint32)
+        self._starts = np.zeros(1 << 10, np.int64)
+        self._flat = np.empty(1 << 10, np.uint32)
 
     def _add(self, words: list[bytes], sizes: np.ndarray, flat: np.ndarray) -> None:
         at = len(self._known)
+        end = int(self._starts[at])
         self._known.update(zip(words, range(at, at + len(words)), strict=True))
-        self._starts = np.concatenate((self._starts, self._starts[-1] + np.cumsum(sizes)))
-        self._flat = np.concatenate((self._flat, flat))
+        # Both grow by doubling, so that adding costs what is added.
+        self._starts = _room(self._starts, at + 1 + len(words))
+        self._starts[at + 1 : at + 1 + len(words)] = end + np.cumsum(sizes)
+        self._flat = _room(self._flat, end + flat.size)
+        self._flat[end : end + flat.size] = flat
 
     def _encode_words(self, words: list[bytes]) -> None:
         plain = [w for w in words if b"<|" not in w] if self._mark is not None else []
@@ -112,38 +119,29 @@ class Encoder:
         total = int(ends[-1]) if ends.size else 0
         return self._flat[np.arange(total) + np.repeat(first - (ends - size), size)], size
 
-    def _learn(self, new: set[bytes]) -> None:
-        ended = []
-        for w in new:
-            core = w.rstrip(_ENDS)
-            if core and len(core) < len(w) and (core.isalpha() or _plain_letters(core)):
-                ended.append((w, core, w[len(core) :]))
-        new.difference_update([w for w, _, _ in ended])
-        new.update([core for _, core, _ in ended], [end for _, _, end in ended])
-        new -= self._known.keys()
-        if new:
-            self._encode_words(list(new))
-        if ended:
-            at = np.fromiter((self._known[x] for _, core, end in ended for x in (core, end)), np.int64, 2 * len(ended))
-            flat, size = self._gather(at)
-            self._add([w for w, _, _ in ended], size.reshape(-1, 2).sum(1), flat)
-
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text and the end id; each different word is looked up once."""
         if len(self._known) > _KNOWN_WORDS:
             self._forget()
-        words = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        every = list(chain.from_iterable(words))
-        at = np.fromiter(map(self._known.get, every, repeat(-1)), np.int64, len(every))
+        texts = pc.fill_null(texts, "")
+        parted = pc.replace_substring_regex(pc.ascii_lower(texts), _LETTER_AND_SIGN, r"\1 \2")
+        trimmed = pc.ascii_trim_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, parted))
+        split = pc.ascii_split_whitespace(trimmed)
+        counts = np.where(pc.equal(trimmed, "").to_numpy(False), 0, pc.list_value_length(split).to_numpy())
+        every = split.flatten()
+        every = every.filter(pc.not_equal(every, "")).dictionary_encode()
+        words = every.dictionary.cast(pa.binary()).to_pylist()
+        at = np.fromiter(map(self._known.get, words, repeat(-1)), np.int64, len(words))
         missed = np.flatnonzero(at < 0)
         if missed.size:
-            missing = [every[i] for i in missed.tolist()]
-            self._learn(set(missing))
+            missing = [words[i] for i in missed.tolist()]
+            self._encode_words(missing)
             at[missed] = np.fromiter(map(self._known.__getitem__, missing), np.int64, len(missing))
-        ids, size = self._gather(at)
+        ids, size = self._gather(at[every.indices.to_numpy()])
         # Ids up to the end of each text, where the end id goes in.
-        upto = np.concatenate(([0], np.cumsum(size)))[np.cumsum([len(w) for w in words])]
+        upto = np.concatenate(([0], np.cumsum(size)))[np.cumsum(counts)]
         ids = np.insert(ids, upto, np.uint32(END))
-        return np.split(ids, (upto + np.arange(1, len(words) + 1))[:-1])
+        return np.split(ids, (upto + np.arange(1, len(counts) + 1))[:-1])
 
 
 _ENCODERS: dict[str | None, Encoder] = {}
@@ -164,10 +162,10 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str | None, length: int) -> It
     ids_of = encoder(path)
     for batch in batches:
         doc_ids, salts = batch.column("doc_id").to_pylist(), batch.column("salt").to_pylist()
-        texts = [x.as_py() or b"" for x in batch.column("text").cast(pa.binary())]
-        for begin in range(0, len(texts), 256):
+        column = batch.column("text")
+        for begin, end in runs_of_bytes(column, _RUN_BYTES):
             rows = []
-            for i, ids in enumerate(ids_of.encode(texts[begin : begin + 256]), begin):
+            for i, ids in enumerate(ids_of.encode(column.slice(begin, end - begin)), begin):
                 for start in range(0, ids.size, length):
                     piece = ids[start : start + length]
                     part = zlib.crc32(f"{salts[i]}:{start}".encode())
@@ -287,11 +285,11 @@ def _fill(batches: Iterator[pa.RecordBatch], path: str | None) -> Iterator[pa.Re
     for batch in batches:
         doc_ids = batch.column("doc_id").to_pylist()
         plans = batch.column("plan").to_pylist()
-        texts = [x.as_py() or b"" for x in batch.column("text").cast(pa.binary())]
-        for begin in range(0, len(texts), 256):
+        column = batch.column("text")
+        for begin, end in runs_of_bytes(column, _RUN_BYTES):
             rows = [
                 (p["sequence_id"], p["offset"], doc_ids[i], p["start"], ids[p["start"] : p["start"] + p["length"]].astype(np.int32))
-                for i, ids in enumerate(ids_of.encode(texts[begin : begin + 256]), begin)
+                for i, ids in enumerate(ids_of.encode(column.slice(begin, end - begin)), begin)
                 for p in plans[i]
             ]
             kinds = [pa.int64()] * 4 + [pa.list_(pa.int32())]
