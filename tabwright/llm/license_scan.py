@@ -136,7 +136,7 @@ class Scanner:
         near = []
         for k, places in at.items():
             size, name, b = self.made[k]
-            if len(places) < self.least * size / (2 - self.least):
+            if len(places) < self.bound * size:
                 continue
             inside, shared, last = Counter(), 0, 0
             for i in places:
