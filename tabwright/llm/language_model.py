@@ -1,7 +1,9 @@
 """A gated recurrent language model over words, and the log-likelihood of whole documents.
 
-Words: the commonest ``VOCABULARY`` words of the training documents, an end of text, and
-one mark for all other words. The network predicts the next of these; if it is the mark,
+Words: the commonest words of the training documents, an end of text, and one mark for
+all other words. There are as many as the root of the number of different words, from
+``LEAST_VOCABULARY`` to ``MOST_VOCABULARY`` (the stated size of the model: 33 weights a
+word), in as many classes as words a class. The network predicts the next of these; if it is the mark,
 the word itself has the share that smoothed counts give it among all words outside the
 vocabulary (with one place kept for words never seen), so the score is a probability of
 the text itself. The output is factored: first a class, then a word within it, classes
@@ -28,21 +30,21 @@ keeps its first weights; an empty table gives an empty table.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from functools import partial
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.common import crc32_of_id, settle, words_of
+from tabwright.llm.common import crc32_of_id, runs_of_bytes, settle
 
 HIDDEN = 16
 INPUT = 16
-VOCABULARY = 1022
-CLASSES = 32
+LEAST_VOCABULARY, MOST_VOCABULARY = 1022, 16_382
 STEPS = 32
 LANES = 512
 #: Longer documents are trained on in parts of so many words, each with a new state.
@@ -55,6 +57,12 @@ ROUNDS = 2
 #: Most words whose counts go to every task; the rest meet the texts by a join.
 SENT_WORDS = 65_536
 SEED = 3
+#: Texts made into words in one go have so many bytes, or are one text.
+RUN_BYTES = 1 << 21
+#: Documents gathered as ids before the network runs over them.
+RUN_DOCS, RUN_WORDS = 4096, 1 << 20
+#: Different words that a task counts before it sends them on.
+COUNTED = 300_000
 _CUT = 5.0
 _LARGEST = np.float32(60)
 
@@ -74,10 +82,11 @@ class Network:
         self.per_class = per_class
 
     @classmethod
-    def start(cls, counts: np.ndarray, classes: int = CLASSES, seed: int = SEED) -> Network:
+    def start(cls, counts: np.ndarray, classes: int | None = None, seed: int = SEED) -> Network:
         """``counts``: of each id in training. Ids are dealt to classes in order of counts."""
         random = np.random.default_rng(seed)
         n = counts.size
+        classes = classes or math.isqrt(max(n - 1, 0)) + 1
         per = -(-n // classes)
         share = (counts + 1.0) / (counts.sum() + n)
         padded = np.zeros(classes * per)
@@ -318,18 +327,40 @@ def _ids(places: np.ndarray, vocabulary: int) -> np.ndarray:
     return np.append(np.where((places >= 0) & (places < vocabulary), places + 2, 1), 0)
 
 
+def vocabulary_size(different: int) -> int:
+    """Words of the network for a corpus of so many different words."""
+    return min(max(math.isqrt(max(different, 0)), LEAST_VOCABULARY), MOST_VOCABULARY)
+
+
+def _gathered(batch: pa.RecordBatch, known: dict[bytes, int]) -> Iterator[tuple[int, int, list[list[bytes]], list[np.ndarray]]]:
+    """Rows of a batch (first, one past the last) with their words and the places of these.
+
+    Python words exist for one run of bytes at a time, however many rows a batch has.
+    """
+    column = batch.column("text").cast(pa.binary())
+    for begin, end in runs_of_bytes(column, RUN_BYTES):
+        words = [split_words(x.as_py()) for x in column.slice(begin, end - begin)]
+        yield begin, end, words, [_places(w, known) for w in words]
+
+
 def _train(batches: Iterator[pa.RecordBatch], net: Network, known: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
     squares = {k: np.full_like(v, 1e-8) for k, v in net.w.items()}
-    words = 0
+    total, waiting, size = 0, [], 0
     for batch in batches:
-        texts = [_ids(_places(split_words(x.as_py()), known), len(known)) for x in batch.column("text").cast(pa.binary())]
-        for begin in range(0, len(texts), 4096):
-            train_on(net, texts[begin : begin + 4096], squares)
-        words += sum(t.size for t in texts)
-    if words:
+        for _, _, _, places in _gathered(batch, known):
+            for p in places:
+                waiting.append(_ids(p, len(known)).astype(np.int32))
+                size += waiting[-1].size
+                if len(waiting) == RUN_DOCS or size >= RUN_WORDS:
+                    train_on(net, waiting, squares)
+                    total, waiting, size = total + size, [], 0
+    if waiting:
+        train_on(net, waiting, squares)
+        total += size
+    if total:
         flat = np.concatenate([net.w[k].ravel() for k in sorted(net.w)]).astype(np.float64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(flat.size)), pa.array(flat * words), pa.array(np.full(flat.size, float(words)))],
+            [pa.array(np.arange(flat.size)), pa.array(flat * total), pa.array(np.full(flat.size, float(total)))],
             ["at", "value", "weight"],
         )
 
@@ -357,7 +388,7 @@ def train(docs: DataFrame, net: Network, known: dict[bytes, int], rounds: int =
 
 def _score(
     batches: Iterator[pa.RecordBatch], net: Network, known: dict[bytes, int], counts: np.ndarray,
-    vocabulary: int, end: int, n: int, v: int, log_other: float,
+    vocabulary: int, end_count: int, n: int, v: int, log_other: float,
 ) -> Iterator[pa.RecordBatch]:
     """Scores of what every task knows, and the words that only the join knows.
 
@@ -369,41 +400,73 @@ def _score(
     logs = np.append(np.log10(counts + 1.0) - bottom, 0.0)
     outside = np.where(np.arange(logs.size) < vocabulary, 0.0, logs - log_other)
     outside[-1] = 0.0
-    end_log = math.log10(end + 1) - bottom
-    for batch in batches:
-        texts = [split_words(x.as_py()) for x in batch.column("text").cast(pa.binary())]
-        places = [_places(words, known) for words in texts]
-        base = [float(logs[p].sum()) + end_log for p in places]
-        other = [float(outside[p].sum()) for p in places]
-        seen = [int((p >= 0).sum()) + (end > 0) for p in places]
-        rare = [[words[i] for i in np.flatnonzero(p < 0)] for words, p in zip(texts, places, strict=True)]
-        scores = np.zeros(len(texts))
-        for begin in range(0, len(texts), 4096):
-            ids = [_ids(p, vocabulary) for p in places[begin : begin + 4096]]
-            scores[begin : begin + 4096] = score_documents(net, ids) / math.log(10)
-        yield pa.RecordBatch.from_arrays(
+    end_log = math.log10(end_count + 1) - bottom
+    rare_kind = pa.struct([("word", pa.binary()), ("times", pa.int64())])
+
+    def scored(batch: pa.RecordBatch, first: int, rows: list[tuple], ids: list[np.ndarray]) -> pa.RecordBatch:
+        tokens, seen, base, other, rare = zip(*rows, strict=True)
+        counted = list(chain.from_iterable(r.items() for r in rare))
+        listed = pa.ListArray.from_arrays(
+            pa.array(np.cumsum([0, *map(len, rare)]), pa.int32()),
+            pa.StructArray.from_arrays(
+                [pa.array([w for w, _ in counted], pa.binary()), pa.array([n for _, n in counted], pa.int64())], fields=list(rare_kind)
+            ),
+        )
+        here = batch.slice(first, len(rows))
+        return pa.RecordBatch.from_arrays(
             [
-                batch.column("doc_id"), batch.column("held_out"),
-                pa.array([len(w) + 1 for w in texts], pa.int64()), pa.array(seen, pa.int64()),
-                pa.array(base, pa.float64()), pa.array(scores + np.array(other), pa.float64()),
-                pa.array(rare, pa.list_(pa.binary())),
+                here.column("doc_id"), here.column("held_out"), pa.array(tokens, pa.int64()), pa.array(seen, pa.int64()),
+                pa.array(base, pa.float64()), pa.array(score_documents(net, ids) / math.log(10) + np.array(other), pa.float64()), listed,
             ],
             ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare"],
         )
 
+    for batch in batches:
+        rows, ids, size, first = [], [], 0, 0
+        for _, end, texts, places in _gathered(batch, known):
+            for words, p in zip(texts, places, strict=True):
+                ids.append(_ids(p, vocabulary).astype(np.int32))
+                size += ids[-1].size
+                rows.append((
+                    len(words) + 1, int((p >= 0).sum()) + (end_count > 0), float(logs[p].sum()) + end_log, float(outside[p].sum()),
+                    Counter([words[i] for i in np.flatnonzero(p < 0)]),
+                ))
+            if len(rows) >= RUN_DOCS or size >= RUN_WORDS or end == batch.num_rows:
+                yield scored(batch, first, rows, ids)
+                rows, ids, size, first = [], [], 0, end
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words and their counts, sent on whenever there are many different ones."""
+    counts: Counter = Counter()
+
+    def sent() -> pa.RecordBatch:
+        words = pa.array(list(counts), pa.binary()).cast(pa.string())
+        return pa.RecordBatch.from_arrays([words, pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+
+    for batch in batches:
+        column = batch.column("text").cast(pa.binary())
+        for begin, end in runs_of_bytes(column, RUN_BYTES):
+            for x in column.slice(begin, end - begin):
+                counts.update(split_words(x.as_py()))
+            if len(counts) >= COUNTED:
+                yield sent()
+                counts.clear()
+    if counts:
+        yield sent()
+
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """``word`` (lower case A-Z) and its count ``n``; the end of text is the empty word."""
-    lower = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     ends = docs.agg(F.count(F.lit(1)).alias("n")).select(F.lit("").alias("word"), "n").where("n > 0")
     return (
-        docs.select(F.explode(words_of(lower)).alias("word"))
-        .groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+        docs.select("text").mapInArrow(_count, "word string, n bigint")
+        .groupBy("word").agg(F.sum("n").alias("n"))
         .unionByName(ends)
     )
 
 
-def score(docs: DataFrame, held_out: Column | None = None, vocabulary: int = VOCABULARY, sent_words: int = SENT_WORDS) -> DataFrame:
+def score(docs: DataFrame, held_out: Column | None = None, vocabulary: int | None = None, sent_words: int = SENT_WORDS) -> DataFrame:
     """Every row of ``docs`` with the unigram and the network's score.
 
     ``held_out`` marks the rows not to learn from; by default those whose CRC-32 of the
@@ -416,6 +479,7 @@ def score(docs: DataFrame, held_out: Column | None = None, vocabulary: int = VOC
     training = marked.where("not held_out")
     counts = settle(word_counts(training))
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    vocabulary = vocabulary or vocabulary_size(v)
     # The least count of which, with all above, no more than sent_words words are.
     fits, least = 0, None
     for row in sorted(counts.where("word <> ''").groupBy("n").count().collect(), reverse=True):
@@ -439,22 +503,22 @@ def score(docs: DataFrame, held_out: Column | None = None, vocabulary: int = VOC
         marked.mapInArrow(
             partial(
                 _score, net=net, known={w: i for i, w in enumerate(words)}, counts=sizes,
-                vocabulary=len(chosen), end=end, n=n, v=v, log_other=log_other,
+                vocabulary=len(chosen), end_count=end, n=n, v=v, log_other=log_other,
             ),
-            "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, rare array<binary>",
+            "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, rare array<struct<word:binary,times:bigint>>",
         ).withColumn("row", F.monotonically_increasing_id())
     )
     bottom = math.log10(n + v + 1)
-    rare = first.select("row", F.explode("rare").alias("w")).select("row", F.col("w").cast("string").alias("w"))
+    rare = first.select("row", F.explode("rare").alias("w")).select("row", F.col("w.word").cast("string").alias("w"), F.col("w.times").alias("times"))
     others = counts.select(F.col("word").alias("known_word"), F.col("n").alias("c"))
     log = F.log10(F.coalesce("c", F.lit(0)) + 1.0) - F.lit(bottom)
     found = (
         rare.join(others, F.col("w") == F.col("known_word"), "left")
         .groupBy(F.col("row").alias("of"))
         .agg(
-            F.count("c").alias("more"),
-            F.sum(log).alias("logs"),
-            F.count(F.lit(1)).alias("times"),
+            F.sum(F.when(F.col("c").isNotNull(), F.col("times"))).alias("more"),
+            F.sum(log * F.col("times")).alias("logs"),
+            F.sum("times").alias("times"),
         )
     )
     logs, times = F.coalesce("logs", F.lit(0.0)), F.coalesce("times", F.lit(0))
@@ -470,4 +534,4 @@ def score(docs: DataFrame, held_out: Column | None = None, vocabulary: int = VOC
     )
 
 
-__all__ = ["Network", "score", "score_documents", "train", "train_on", "word_counts"]
+__all__ = ["Network", "score", "score_documents", "train", "train_on", "vocabulary_size", "word_counts"]
