@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import partial
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +19,30 @@ from tabwright.operators.sampling import Key, sample_size
 from tabwright.sources.shared import settle
 from tabwright.sources.tables import materialize_once
 
-Encoder = Callable[[list[str]], list[list[int]]]
+Encoder = Callable[[list[str]], Iterable[list[int]]]
+
+#: Texts that are Python values at one time have so many bytes and rows, or are one text.
+RUN_BYTES = 1 << 20
+RUN_ROWS = 1024
+
+
+def _runs(column: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges (first, one past the last) of texts that are encoded together."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    begin = total = 0
+    for i, size in enumerate(sizes):
+        if i > begin and (total + size > RUN_BYTES or i - begin == RUN_ROWS):
+            yield begin, i
+            begin, total = i, 0
+        total += size
+    if begin < len(sizes):
+        yield begin, len(sizes)
+
+
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    """Lists of ids from one array per row."""
+    ends = np.cumsum([0, *[r.size for r in rows]], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows)))
 
 
 def tokenize_text(
@@ -31,7 +56,7 @@ def tokenize_text(
     """Replace the text by its tokens.
 
     ``make_encoder`` is called once per task and gives a function from a list of texts
-    to lists of token ids; the result then has ``input_ids``. Without it words are the
+    to lists of token ids, one per text; the result then has ``input_ids``. Without it words are the
     tokens and the result has ``tokens``. Both have ``attention_mask``, ``length`` (after
     truncation to ``max_length`` and padding) and ``raw_length`` (before).
 
@@ -67,24 +92,29 @@ def tokenize_text(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Only the text becomes Python values; the other columns stay what they are.
+        # An Arrow batch has 10,000 rows, whose ids as Python values do not fit a task.
         encoder = make_encoder()
         for batch in batches:
-            texts = [value or "" for value in batch.column(text).to_pylist()]
-            found = [list(row) for row in encoder(texts)]
-            short = [row[:max_length] if max_length else row for row in found]
-            gap = [max(0, max_length - len(r)) if pad_to_max and max_length else 0 for r in short]
-            both = list(zip(short, gap, strict=True))
-            new = {
-                "input_ids": pa.array([r + [pad_id] * g for r, g in both], pa.list_(pa.int32())),
-                "attention_mask": pa.array(
-                    [[1] * len(r) + [0] * g for r, g in both], pa.list_(pa.int32())
-                ),
-                "length": pa.array([len(r) + g for r, g in both], pa.int32()),
-                "raw_length": pa.array([len(r) for r in found], pa.int32()),
-            }
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(n) for n in names], *new.values()], [*names, *new]
-            )
+            column = batch.column(text)
+            for begin, end in _runs(column):
+                texts = [value or "" for value in column.slice(begin, end - begin).to_pylist()]
+                found, short, mask = [], [], []
+                for row in encoder(texts):
+                    found.append(len(row))
+                    ids = np.array(row[:max_length] if max_length else row, np.int32)
+                    gap = max(0, max_length - ids.size) if pad_to_max and max_length else 0
+                    short.append(np.pad(ids, (0, gap), constant_values=pad_id))
+                    mask.append(np.pad(np.ones(ids.size, np.int32), (0, gap)))
+                new = {
+                    "input_ids": _lists(short),
+                    "attention_mask": _lists(mask),
+                    "length": pa.array([ids.size for ids in short], pa.int32()),
+                    "raw_length": pa.array(found, pa.int32()),
+                }
+                rest = batch.slice(begin, end - begin)
+                yield pa.RecordBatch.from_arrays(
+                    [*[rest.column(n) for n in names], *new.values()], [*names, *new]
+                )
 
     return df.mapInArrow(encode, schema)
 
@@ -101,7 +131,10 @@ def file_encoder(path: str) -> Callable[[], Encoder]:
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
-        return lambda texts: [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+        # One text at a time: what the tokenizer keeps of a text besides its ids is large.
+        return lambda texts: (
+            tokenizer.encode_batch_fast([t], add_special_tokens=False)[0].ids for t in texts
+        )
 
     return load
 
