@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tabwright.operators import tokens
+from tabwright.operators.group_features import OutlierRule, iqr_outliers
 from tests.conftest import rows
 
 
@@ -30,3 +31,21 @@ def test_encoders_get_a_bounded_run_of_texts(spark):
         F.when(length > 0, 2).otherwise(0),
     )
     assert rows(got) == rows(want)
+
+
+def test_values_that_are_a_bound_are_inside(spark):
+    # Of two values the smaller is the lower bound at 0.25, 0.75 and 0.5 times the spread.
+    pairs = [(11604, 184383.75, 361608.527), (13101, 128492.9, 206858.6), (3316, 98926.42, 186768.42),
+             (1, -5.3, 2.7), (2, 0.1, 0.3), (3, -0.7, -0.1), (4, 1e-7, 3e9)]
+    data = [(g, x) for g, low, high in pairs for x in (low, high)]
+    rule = OutlierRule(lower_coefficient=0.5, upper_coefficient=0.5)
+    df = spark.createDataFrame(data, "g int, x double")
+    for task_rows in (1_000_000, 1):
+        assert rows(iqr_outliers(df, "x", "g", rule, task_rows)) == rows(df)
+    # A value next to a bound is outside, as is one of a group with more rows.
+    more = [(g, x) for g, low, high in pairs for x in (low, low, high, high, low - 2 * (high - low))]
+    kept = iqr_outliers(spark.createDataFrame(more, "g int, x double"), "x", "g", rule)
+    assert rows(kept.groupBy("g").count()) == sorted(((g, 4) for g, *_ in pairs), key=repr)
+    near = spark.createDataFrame([(x,) for x in (0.0, 1.0, 1.0 + 1e-13)], "x double")
+    flat = OutlierRule(0.0, 0.5, 0.0, 0.0)
+    assert rows(iqr_outliers(near, "x", rule=flat)) == [(0.0,), (1.0,)]
