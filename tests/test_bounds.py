@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tabwright.catalog.stored import _dealt
 from tabwright.operators import tokens
 from tabwright.operators.group_features import OutlierRule, iqr_outliers
 from tests.conftest import rows
@@ -49,3 +50,22 @@ def test_values_that_are_a_bound_are_inside(spark):
     near = spark.createDataFrame([(x,) for x in (0.0, 1.0, 1.0 + 1e-13)], "x double")
     flat = OutlierRule(0.0, 0.5, 0.0, 0.0)
     assert rows(iqr_outliers(near, "x", rule=flat)) == [(0.0,), (1.0,)]
+
+
+def test_rows_dealt_anew_come_in_parts_of_bounded_size(spark):
+    # Parts of the bounded size are cut when the query runs, however many there are.
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.shuffle.partitions": "2"}
+    old = {k: spark.conf.get(k) for k in settings}
+    seen = {}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        for n in (50_000, 200_000):
+            df = spark.range(0, n, 1, 40).select("id", F.xxhash64("id").alias("x"))
+            parts = _dealt(df, "id").select(F.spark_partition_id().alias("p"), "id").groupBy("p").count()
+            seen[n] = [r["count"] for r in parts.collect()]
+            assert sum(seen[n]) == n
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert max(seen[200_000]) < 1.5 * max(seen[50_000]) and len(seen[200_000]) > 10
