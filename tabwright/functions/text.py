@@ -70,4 +70,18 @@ def words(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    return F.size(words(text))
+    """How many words a text has, ``size(words(text))``.
+
+    Where words are parted by single spaces and all signs are ASCII, which most written rows
+    are, the spaces are counted; that takes a fraction of the time of making the words.
+    """
+    trimmed = F.btrim(text)
+    plain = F.octet_length(text) == F.length(text)
+    for sign in ["  ", *[s for s in _SPACES if s.isascii() and s != " "]]:
+        plain = plain & ~F.contains(trimmed, F.lit(sign))
+    spaces = F.length(trimmed) - F.length(F.replace(trimmed, F.lit(" "), F.lit("")))
+    return (
+        F.when(text.isNull() | ~plain, F.size(words(text)))
+        .when(F.length(trimmed) == 0, 0)
+        .otherwise(spaces + 1)
+    )

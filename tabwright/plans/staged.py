@@ -2,7 +2,8 @@
 
 Steps: rename and narrow, profile and filter, clean, label mapping, group features,
 column selection, split, (scaling is a no-op), text, package. The table is written
-after the label mapping and after the split, where several passes follow.
+where several passes follow: as it comes in, unless it is a stored table already, after
+the cleaning, after the split and as text.
 """
 
 from __future__ import annotations
@@ -50,7 +51,7 @@ from tabwright.operators.tokens import token_analysis
 from tabwright.operators.trace import RowTrace, traced
 from tabwright.operators.types import narrow_and_count
 from tabwright.sources.packaging import package_dataset
-from tabwright.sources.shared import checkpoint_stage
+from tabwright.sources.shared import checkpoint_stage, is_stored
 
 
 @dataclass(frozen=True)
@@ -106,6 +107,9 @@ def staged_text(
 
     df, renamed = rename_from_mapping(raw, config.names)
     require(df, target)
+    if not is_stored(raw):
+        # Four passes follow, which would each repeat the joins that made the rows.
+        df = checkpoint_stage(df, "input")
     trace = RowTrace() if config.count_rows else None
     if config.narrow:
         df, reports["types"], rows = narrow_and_count(df, 0.3, [target], exact=False)
@@ -171,6 +175,8 @@ def staged_text(
         encode_labels(df, mapping, target), target, features,
         config.separator, config.key_value_separator, True, config.replacement,
     )
+    # The tokens are counted, a package written and the result read from one copy.
+    text = checkpoint_stage(text, "text")
     if config.total_classes <= config.named_labels:
         text = with_label_names(text, mapping)
     reports["token_stats"], reports["token_bands"] = token_analysis(

@@ -1,10 +1,16 @@
 """Bounds that hold at any size: what a task holds at once, and how rows are dealt."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from tabwright.catalog.stored import _dealt
+from tabwright.fixed_values import WORD_SPACE
+from tabwright.functions.text import word_count, words
 from tabwright.operators import tokens
 from tabwright.operators.group_features import OutlierRule, iqr_outliers
+from tabwright.plans.staged import StagedConfig, staged_text
+from tabwright.sources.shared import is_stored
 from tests.conftest import rows
 
 
@@ -69,3 +75,37 @@ def test_rows_dealt_anew_come_in_parts_of_bounded_size(spark):
         for k, v in old.items():
             spark.conf.set(k, v)
     assert max(seen[200_000]) < 1.5 * max(seen[50_000]) and len(seen[200_000]) > 10
+
+
+def test_staged_preparation_makes_its_input_once(spark, tmp_path):
+    path = str(tmp_path / "input")
+    spark.range(400).selectExpr("id as key", "id % 3 as y", "id * 1.5 as v").write.parquet(path)
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    stored = spark.read.parquet(path)
+    config = StagedConfig(target="y", total_classes=5, features=["v"], key="key", rules=[{"column": "v", "operator": ">", "value": 9}])
+    text, reports = staged_text(stored.mapInArrow(count, stored.schema), config)
+    want, other = staged_text(stored, config)
+    assert rows(text) == rows(want) and rows(text) != []
+    assert all(rows(reports[k]) == rows(other[k]) for k in reports)
+    assert made.value == 400
+    assert is_stored(stored) and is_stored(stored.selectExpr("cast(v as float) as w", "y"))
+    assert not is_stored(stored.unionByName(stored)) and not is_stored(stored.join(stored.select("y"), "y"))
+
+
+def test_word_counts_are_those_of_the_words(spark):
+    signs = [*WORD_SPACE, ord("a"), ord("é"), 0x20, 0x20, ord("b")]
+    rng = random.Random(3)
+    texts = ["", " ", "  ", None, "a", " a", "a ", "a b", "a  b", "\ta\t", "a\x1fb", "é è", *(
+        "".join(chr(rng.choice(signs)) for _ in range(rng.randrange(12))) for _ in range(3000)
+    )]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    both = df.select("t", word_count(F.col("t")).alias("n"), F.size(words(F.col("t"))).alias("m"))
+    assert both.where(~F.col("n").eqNullSafe(F.col("m"))).collect() == []
+    plain = spark.createDataFrame([("a b c",)], "t string").select(word_count(F.col("t"))).first()[0]
+    assert plain == 3
