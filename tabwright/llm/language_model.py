@@ -19,7 +19,7 @@ each round starts from the average of the one before. Every training document is
 once, whole.
 
 Scoring runs the network over every document with the state carried from its first word
-to its last; counts of words outside the vocabulary that are too many to send to every
+to its last, documents lying end to end in lanes of one length; counts of words outside the vocabulary that are too many to send to every
 task are met by a join.
 
 Defined cases: NULL is an empty text, which is one end of text; repeated rows count as
@@ -30,13 +30,13 @@ keeps its first weights; an empty table gives an empty table.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from functools import partial
-from itertools import chain, repeat
+from heapq import heapreplace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,9 +49,11 @@ STEPS = 32
 LANES = 512
 #: Longer documents are trained on in parts of so many words, each with a new state.
 PART = 1024
-#: Documents scored side by side, and words at a time.
-SCORE_LANES = 512
+#: Lanes of documents scored side by side, and words at a time.
+LEAST_LANES, SCORE_LANES = 32, 512
 SCORE_STEPS = 64
+#: Targets whose shares are computed in one go.
+AT_ONCE = 1024
 RATE = 0.03
 ROUNDS = 2
 #: Most words whose counts go to every task; the rest meet the texts by a join.
@@ -61,14 +63,26 @@ SEED = 3
 RUN_BYTES = 1 << 21
 #: Documents gathered as ids before the network runs over them.
 RUN_DOCS, RUN_WORDS = 4096, 1 << 20
+#: The same for scoring, where a longest text of few leaves most lanes idle.
+SCORE_DOCS, SCORE_WORDS = 16_384, 1 << 22
 #: Different words that a task counts before it sends them on.
 COUNTED = 300_000
 _CUT = 5.0
 _LARGEST = np.float32(60)
 
 
-def split_words(text: bytes | None) -> list[bytes]:
-    return (text or b"").lower().split()
+def split_words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, one after the other, lower case A-Z, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(column))
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    words = lists.flatten()
+    # Blanks at the ends of a text, and a text of blanks alone, give empty words.
+    real = pc.greater(pc.binary_length(words), 0)
+    empty = np.flatnonzero(~real.to_numpy(zero_copy_only=False))
+    if empty.size:
+        sizes -= np.bincount(np.searchsorted(np.cumsum(sizes), empty, side="right"), minlength=sizes.size)
+        words = words.filter(real)
+    return words, sizes
 
 
 # --- the network ---------------------------------------------------------------------
@@ -109,136 +123,204 @@ class Network:
             per,
         )
 
+    def _gates(self, name: str) -> np.ndarray:
+        """Recurrent or input weights by gate (update, reset, new), each as one block of memory."""
+        return np.ascontiguousarray(self.w[name].reshape(-1, 3, HIDDEN).swapaxes(0, 1))
+
     def run(
         self, ids: np.ndarray, state: np.ndarray, keep: bool, fresh: np.ndarray | None = None
     ) -> tuple[np.ndarray, list]:
         """States after each step for ids (steps, lanes); ``keep``: with what backward needs;
         ``fresh``: where a document begins, at which the state is set to nothing."""
         w, h = self.w, HIDDEN
-        x = (w["embed"] @ w["wx"] + w["b"])[ids]
-        out = np.empty((*ids.shape, h), np.float32)
+        steps, lanes = ids.shape
+        wh = self._gates("wh")
+        table = np.matmul(w["embed"], self._gates("wx")) + w["b"].reshape(3, 1, h)
+        # The logistic function takes its argument with the sign changed.
+        table[:2] *= -1
+        wh[:2] *= -1
+        out = np.empty((steps, lanes, h), np.float32)
         kept = []
-        wh, wn = w["wh"][:, : 2 * h], w["wh"][:, 2 * h :]
-        for t in range(ids.shape[0]):
+        x, gates, new, held = (np.empty((*n, lanes, h), wh.dtype) for n in ((3,), (2,), (), ()))
+        for t in range(steps):
             if fresh is not None and fresh[t].any():
                 state = state * ~fresh[t][:, None]
-            gates = state @ wh
-            gates += x[t, :, : 2 * h]
-            np.negative(gates, out=gates)
+            if keep:
+                gates, new = np.empty_like(gates), np.empty_like(new)
+            np.take(table, ids[t], axis=1, out=x, mode="clip")
+            np.matmul(state, wh[:2], out=gates)
+            gates += x[:2]
             np.exp(gates, out=gates)
             gates += 1
             np.reciprocal(gates, out=gates)
-            z, r = gates[:, :h], gates[:, h:]
-            new = np.tanh(x[t, :, 2 * h :] + (r * state) @ wn)
+            z, r = gates
+            np.multiply(r, state, out=held)
+            np.matmul(held, wh[2], out=new)
+            new += x[2]
+            np.tanh(new, out=new)
             if keep:
                 kept.append((state, z, r, new))
-            state = state + z * (new - state)
-            out[t] = state
+            np.subtract(new, state, out=held)
+            held *= z
+            state = np.add(state, held, out=out[t])
         return out, kept
 
     def log_parts(self, states: np.ndarray, targets: np.ndarray, slopes: bool = False) -> tuple:
         """Natural log-probability of each target; with ``slopes`` also what backward needs.
 
-        Targets lie along the last axis, in order of their class, so that sums over a
-        class's words run over rows.
+        Targets are taken in order of their class, ``AT_ONCE`` at a time, which the caches
+        hold. Biases are weights of a state that is always 1.
         """
-        w = self.w
+        w, h = self.w, HIDDEN
+        n, classes = targets.size, w["bc"].size
         of, inside = np.divmod(targets, self.per_class)
         order = np.argsort(of.astype(np.int16), kind="stable")
-        of, inside, turned = of[order], inside[order], np.ascontiguousarray(states[order].T)
-        edges = np.searchsorted(of, np.arange(w["bc"].size + 1))
-        at = np.arange(targets.size)
-        shares = w["wc"].T @ turned
-        shares += w["bc"][:, None]
-        np.minimum(shares, _LARGEST, out=shares)
-        found = shares[of, at]
-        np.exp(shares, out=shares)
-        total = shares.sum(0)
-        found = found - np.log(total)
-        grads, d_turned = None, None
+        of, inside = of[order], inside[order]
+        edges = np.searchsorted(of, np.arange(classes + 1)).tolist()
+        sorted_states = np.ones((n, h + 1), np.result_type(states, w["wc"]))
+        sorted_states[:, :h] = np.take(states, order, axis=0)
+        kind = sorted_states.dtype
+        at, most = np.arange(min(n, AT_ONCE)), max(classes, self.per_class)
+        room, ones = np.empty(most * at.size, kind), np.ones(most, kind)
+        largest = np.abs(states).max(initial=0)
+        found, out = np.empty(n, kind), np.empty(n)
+        d_sorted, d_states, grads = None, None, None
         if slopes:
-            shares /= total
-            shares[of, at] -= 1
-            grads = {"wc": turned @ shares.T, "bc": shares.sum(1), "ww": {}, "bw": {}}
-            d_turned = w["wc"] @ shares
-        for c in range(w["bc"].size):
-            low, high = edges[c], edges[c + 1]
-            if low == high:
-                continue
-            mine, k, t = turned[:, low:high], inside[low:high], at[: high - low]
-            e = w["ww"][c].T @ mine
-            e += w["bw"][c][:, None]
-            np.minimum(e, _LARGEST, out=e)
-            found[low:high] += e[k, t]
+            d_sorted = np.empty((n, h), kind)
+            d_class, d_word = np.zeros((h + 1, classes), kind), np.zeros((classes, h + 1, self.per_class), kind)
+
+        def joined(name: str, biases: str) -> tuple[np.ndarray, np.ndarray]:
+            """Weights with their biases, and for each set of them whether a sum may be too large."""
+            bounds = np.abs(w[name]).sum(-2) * largest + w[biases]
+            return np.concatenate((w[name], w[biases][..., None, :]), -2), bounds.max(-1) > _LARGEST
+
+        def share(weights: np.ndarray, cut: bool, low: int, high: int, target: np.ndarray) -> tuple[np.ndarray, np.ndarray | None, np.ndarray | None]:
+            """Logarithms for targets low to high, and the slopes of weights and states."""
+            mine, wide = sorted_states[low:high], weights.shape[1]
+            flat = room[: wide * (high - low)]
+            spots = at[: high - low] * wide + target[low:high]
+            e = np.matmul(mine, weights, out=flat.reshape(-1, wide))
+            if cut:
+                np.minimum(e, _LARGEST, out=e)
+            logs = flat[spots]
             np.exp(e, out=e)
-            sums = e.sum(0)
-            found[low:high] -= np.log(sums)
+            sums = e @ ones[:wide]
+            logs -= np.log(sums)
+            if not slopes:
+                return logs, None, None
+            e *= np.reciprocal(sums, out=sums)[:, None]
+            flat[spots] -= 1
+            return logs, mine.T @ e, e @ weights[:h].T
+
+        weights, cut = joined("wc", "bc")
+        for low in range(0, n, AT_ONCE):
+            high = min(low + AT_ONCE, n)
+            found[low:high], d_weights, d_mine = share(weights, cut, low, high, of)
             if slopes:
-                e /= sums
-                e[k, t] -= 1
-                grads["ww"][c] = mine @ e.T
-                grads["bw"][c] = e.sum(1)
-                d_turned[:, low:high] += w["ww"][c] @ e
-        out = np.empty(targets.size)
+                d_class += d_weights
+                d_sorted[low:high] = d_mine
+        weights, cut = joined("ww", "bw")
+        for c in range(classes):
+            for low in range(edges[c], edges[c + 1], AT_ONCE):
+                high = min(low + AT_ONCE, edges[c + 1])
+                logs, d_weights, d_mine = share(weights[c], cut[c], low, high, inside)
+                found[low:high] += logs
+                if slopes:
+                    d_word[c] += d_weights
+                    d_sorted[low:high] += d_mine
         out[order] = found
-        d_states = None
         if slopes:
-            d_states = np.empty(states.shape, d_turned.dtype)
-            d_states[order] = d_turned.T
+            grads = {"wc": d_class[:h], "bc": d_class[h], "ww": d_word[:, :h], "bw": d_word[:, h]}
+            back = np.empty(n, np.int64)
+            back[order] = np.arange(n)
+            d_states = np.take(d_sorted, back, axis=0)
         return out, d_states, grads
 
     def backward(self, ids: np.ndarray, kept: list, d_out: np.ndarray, fresh: np.ndarray) -> dict[str, np.ndarray]:
         """Slopes of the recurrent part from those of its outputs (steps, lanes, hidden)."""
         w, h = self.w, HIDDEN
-        dx = np.empty((*ids.shape, 3 * h), np.float32)
-        d_wh = np.zeros_like(w["wh"])
-        back = np.zeros((ids.shape[1], h), np.float32)
-        for t in range(ids.shape[0] - 1, -1, -1):
+        steps, lanes = ids.shape
+        wh = self._gates("wh")
+        turned = np.ascontiguousarray(wh.swapaxes(1, 2))
+        dx = np.empty((steps, lanes, 3 * h), np.float32)
+        d_wh = np.zeros_like(wh)
+        d_gates = np.empty((3, lanes, h), wh.dtype)
+        d_z, d_r, d_new = d_gates
+        back, one, two = (np.zeros((lanes, h), wh.dtype) for _ in range(3))
+        for t in range(steps - 1, -1, -1):
             state, z, r, new = kept[t]
-            d = d_out[t] + back
-            d_new = d * z * (1 - new * new)
-            d_z = d * (new - state) * z * (1 - z)
-            held = d_new @ w["wh"][:, 2 * h :].T
-            d_r = held * state * r * (1 - r)
-            dx[t, :, :h], dx[t, :, h : 2 * h], dx[t, :, 2 * h :] = d_z, d_r, d_new
-            d_wh[:, : 2 * h] += state.T @ dx[t, :, : 2 * h]
-            d_wh[:, 2 * h :] += (r * state).T @ d_new
-            back = d * (1 - z) + held * r + dx[t, :, : 2 * h] @ w["wh"][:, : 2 * h].T
-            back *= ~fresh[t][:, None]
-        flat = dx.reshape(-1, 3 * h)
-        d_embed = flat @ w["wx"].T
-        order = np.argsort(ids.ravel(), kind="stable")
-        used, first = np.unique(ids.ravel()[order], return_index=True)
+            back += d_out[t]
+            np.multiply(back, z, out=one)
+            back -= one
+            np.multiply(new, new, out=two)
+            np.subtract(1, two, out=two)
+            np.multiply(one, two, out=d_new)
+            np.subtract(new, state, out=two)
+            two *= one
+            np.subtract(1, z, out=one)
+            np.multiply(two, one, out=d_z)
+            held = d_new @ turned[2]
+            held *= r
+            np.multiply(r, state, out=one)
+            np.subtract(state, one, out=two)
+            np.multiply(held, two, out=d_r)
+            back += held
+            d_wh[:2] += np.matmul(state.T, d_gates[:2])
+            d_wh[2] += one.T @ d_new
+            for d, to in zip(d_gates[:2], turned, strict=False):
+                back += d @ to
+            dx[t].reshape(lanes, 3, h)[:] = d_gates.swapaxes(0, 1)
+            if fresh[t].any():
+                back *= ~fresh[t][:, None]
+        flat, words = dx.reshape(-1, 3 * h), ids.ravel()
+        order = np.argsort(words.astype(np.min_scalar_type(w["embed"].shape[0])), kind="stable")
+        sorted_words = words[order]
+        first = np.flatnonzero(np.append(True, sorted_words[1:] != sorted_words[:-1]))
+        d_embed = np.ascontiguousarray(np.take(flat @ w["wx"].T, order, axis=0).T)
         return {
-            "wx": w["embed"][ids.ravel()].T @ flat,
-            "wh": d_wh,
-            "b": flat.sum(0),
-            "embed": (used, np.add.reduceat(d_embed[order], first, axis=0)),
+            "wx": np.take(w["embed"], words, axis=0).T @ flat,
+            "wh": d_wh.swapaxes(0, 1).reshape(h, 3 * h),
+            "b": np.ones(words.size, flat.dtype) @ flat,
+            "embed": (sorted_words[first], np.add.reduceat(d_embed, first, axis=1).T),
         }
 
 
 def _streams(texts: list[np.ndarray], lanes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Documents laid end to end in lanes: (steps, lanes) ids, -1 where a lane is done.
+    """Documents laid end to end in lanes: (steps, lanes) ids, -1 where a lane is done, and
+    the number of the document.
 
     A lane's input before its first word of a document is the end of text before it, and
     the state starts anew there.
     """
     order = sorted(range(len(texts)), key=lambda i: -texts[i].size)
-    fill, parts = [0] * lanes, [[] for _ in range(lanes)]
-    for n, i in enumerate(order):
-        lane = n if n < lanes else int(np.argmin(fill))
-        parts[lane].append(texts[i])
-        fill[lane] += texts[i].size
-    steps = max(fill)
-    ids = np.full((steps, lanes), -1, np.int64)
-    fresh = np.zeros((steps, lanes), bool)
+    fill, parts = [(0, lane) for lane in range(lanes)], [[] for _ in range(lanes)]
+    for i in order:
+        size, lane = fill[0]
+        parts[lane].append(i)
+        heapreplace(fill, (size + texts[i].size, lane))
+    ids = np.full((lanes, max(fill)[0]), -1, np.int32)
+    owner = np.full(ids.shape, -1, np.int32)
     for lane, each in enumerate(parts):
-        at = 0
-        for text in each:
-            ids[at : at + text.size, lane] = text
-            fresh[at, lane] = True
-            at += text.size
-    return ids, fresh
+        if each:
+            joined = np.concatenate([texts[i] for i in each])
+            ids[lane, : joined.size] = joined
+            owner[lane, : joined.size] = np.repeat(each, [texts[i].size for i in each])
+    return np.ascontiguousarray(ids.T), np.ascontiguousarray(owner.T)
+
+
+def _windows(texts: list[np.ndarray], lanes: int, steps: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Windows of the documents in lanes: inputs, targets, where a document begins, the
+    document of each target, and the lanes still in use."""
+    ids, owner = _streams(texts, lanes)
+    last_id, last_owner = np.zeros(lanes, np.int32), np.full(lanes, -1, np.int32)
+    for start in range(0, ids.shape[0], steps):
+        targets, of = ids[start : start + steps], owner[start : start + steps]
+        fresh = (of != np.concatenate((last_owner[None], of[:-1]))) & (of >= 0)
+        inputs = np.concatenate((last_id[None], targets[:-1]))
+        inputs = np.where(fresh | (inputs < 0), 0, inputs)
+        last_id, last_owner = np.maximum(targets[-1], 0), of[-1]
+        used = np.flatnonzero(targets[0] >= 0)
+        yield inputs[:, used], targets[:, used], fresh[:, used], of[:, used], used
 
 
 def train_on(net: Network, texts: list[np.ndarray], squares: dict[str, np.ndarray]) -> float:
@@ -246,85 +328,59 @@ def train_on(net: Network, texts: list[np.ndarray], squares: dict[str, np.ndarra
     if not texts:
         return 0.0
     parts = [t[i : i + PART] for t in texts for i in range(0, t.size, PART)]
-    ids, fresh = _streams(parts, min(LANES, len(parts)))
-    state = np.zeros((ids.shape[1], HIDDEN), np.float32)
-    before = np.zeros(ids.shape[1], np.int64)
+    lanes = min(LANES, len(parts))
+    state = np.zeros((lanes, HIDDEN), np.float32)
     total = 0.0
-    for start in range(0, ids.shape[0], STEPS):
-        targets, new = ids[start : start + STEPS], fresh[start : start + STEPS]
-        inputs = np.concatenate((before[None], targets[:-1]))
-        inputs = np.where(new | (inputs < 0), 0, inputs)
-        before = np.maximum(targets[-1], 0)
-        lanes = np.flatnonzero((targets >= 0).any(0))
-        targets, inputs, new = targets[:, lanes], inputs[:, lanes], new[:, lanes]
-        out, kept = net.run(inputs, state[lanes], True, new)
-        state[lanes] = out[-1]
-        real = targets.ravel() >= 0
-        flat = out.reshape(-1, HIDDEN)[real]
-        found, d_flat, grads = net.log_parts(flat, targets.ravel()[real], True)
+    for inputs, targets, new, _, used in _windows(parts, lanes, STEPS):
+        out, kept = net.run(inputs, state[used], True, new)
+        state[used] = out[-1]
+        real = np.flatnonzero(targets.ravel() >= 0)
+        found, d_out, grads = net.log_parts(np.take(out.reshape(-1, HIDDEN), real, axis=0), targets.ravel()[real], True)
         total += float(found.sum())
-        d_out = np.zeros((out.shape[0] * out.shape[1], HIDDEN), np.float32)
-        d_out[real] = d_flat
+        if real.size < targets.size:
+            d_real, d_out = d_out, np.zeros((targets.size, HIDDEN), np.float32)
+            d_out[real] = d_real
         grads |= net.backward(inputs, kept, d_out.reshape(out.shape), new)
-        _step(net, grads, squares, max(LANES * STEPS // 4, flat.shape[0]))
+        _step(net, grads, squares, max(LANES * STEPS // 4, real.size))
     return total
 
 
 def _step(net: Network, grads: dict, squares: dict[str, np.ndarray], n: int) -> None:
     """Adagrad on the mean slope; rows that got no slope stay."""
     for name, g in grads.items():
-        if name in ("ww", "bw"):
-            each = g.items()
-        elif name == "embed":
-            each = [(g[0], g[1])]
-        else:
-            each = [(slice(None), g)]
-        for at, slope in each:
-            slope = np.clip(slope / n, -_CUT, _CUT)
-            squares[name][at] += slope * slope
-            net.w[name][at] -= RATE * slope / np.sqrt(squares[name][at] + 1e-10)
+        at, slope = g if name == "embed" else (slice(None), g)
+        slope = np.clip(slope / n, -_CUT, _CUT)
+        squares[name][at] += slope * slope
+        net.w[name][at] -= RATE * slope / np.sqrt(squares[name][at] + 1e-10)
 
 
 def score_documents(net: Network, texts: list[np.ndarray]) -> np.ndarray:
     """Natural log-probability of each document (ids, the end included), state carried through."""
     scores = np.zeros(len(texts))
-    order = sorted(range(len(texts)), key=lambda i: -texts[i].size)
-    for begin in range(0, len(order), SCORE_LANES):
-        here = order[begin : begin + SCORE_LANES]
-        sizes = np.array([texts[i].size for i in here])
-        state = np.zeros((len(here), HIDDEN), np.float32)
-        before = np.zeros(len(here), np.int64)
-        sums = np.zeros(len(here))
-        for start in range(0, int(sizes[0]), SCORE_STEPS):
-            lanes = int(np.searchsorted(-sizes, -start))  # those longer than start
-            steps = min(SCORE_STEPS, int(sizes[0]) - start)
-            targets = np.full((steps, lanes), -1, np.int64)
-            for k in range(lanes):
-                part = texts[here[k]][start : start + steps]
-                targets[: part.size, k] = part
-            inputs = np.maximum(np.concatenate((before[None, :lanes], targets[:-1])), 0)
-            before = targets[-1].copy()
-            out, _ = net.run(inputs, state[:lanes], False)
-            state = out[-1]
-            real = targets.ravel() >= 0
-            found, _, _ = net.log_parts(out.reshape(-1, HIDDEN)[real], targets.ravel()[real])
-            where = np.tile(np.arange(lanes), steps)[real]
-            sums[:lanes] += np.bincount(where, found, lanes)
-        scores[here] = sums
+    if not texts:
+        return scores
+    # No more lanes than documents of the greatest length would fill: a lane's end is idle time.
+    sizes = [t.size for t in texts]
+    lanes = min(max(-(-sum(sizes) // max(sizes)), LEAST_LANES), SCORE_LANES, len(texts))
+    state = np.zeros((lanes, HIDDEN), np.float32)
+    for inputs, targets, fresh, of, used in _windows(texts, lanes, SCORE_STEPS):
+        out, _ = net.run(inputs, state[used], False, fresh)
+        state[used] = out[-1]
+        real = np.flatnonzero(targets.ravel() >= 0)
+        found, _, _ = net.log_parts(np.take(out.reshape(-1, HIDDEN), real, axis=0), targets.ravel()[real])
+        scores += np.bincount(of.ravel()[real], found, len(texts))
     return scores
 
 
 # --- in Spark ------------------------------------------------------------------------
 
 
-def _places(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
-    """Place of each word among the known ones, -1 for others."""
-    return np.fromiter(map(known.get, words, repeat(-1)), np.int64, len(words))
-
-
-def _ids(places: np.ndarray, vocabulary: int) -> np.ndarray:
-    """The network's ids, the end of text included."""
-    return np.append(np.where((places >= 0) & (places < vocabulary), places + 2, 1), 0)
+def _ids(places: np.ndarray, sizes: np.ndarray, vocabulary: int) -> list[np.ndarray]:
+    """The network's ids of each text, the end included, from the places of all their words."""
+    ids = np.zeros(places.size + sizes.size, np.int32)
+    at = np.arange(places.size) + np.repeat(np.arange(sizes.size), sizes)
+    ids[at] = np.where((places >= 0) & (places < vocabulary), places + 2, 1)
+    return np.split(ids, np.cumsum(sizes + 1)[:-1])
 
 
 def vocabulary_size(different: int) -> int:
@@ -332,25 +388,31 @@ def vocabulary_size(different: int) -> int:
     return min(max(math.isqrt(max(different, 0)), LEAST_VOCABULARY), MOST_VOCABULARY)
 
 
-def _gathered(batch: pa.RecordBatch, known: dict[bytes, int]) -> Iterator[tuple[int, int, list[list[bytes]], list[np.ndarray]]]:
-    """Rows of a batch (first, one past the last) with their words and the places of these.
+def _gathered(batch: pa.RecordBatch, known: pa.Array) -> Iterator[tuple[int, pa.Array, np.ndarray, np.ndarray]]:
+    """Runs of rows of a batch: one past the last, their words, how many each row has, and
+    the place of each word among the known ones, -1 for others.
 
-    Python words exist for one run of bytes at a time, however many rows a batch has.
+    Words exist for one run of bytes at a time, however many rows a batch has.
     """
-    column = batch.column("text").cast(pa.binary())
+    column = batch.column("text")
     for begin, end in runs_of_bytes(column, RUN_BYTES):
-        words = [split_words(x.as_py()) for x in column.slice(begin, end - begin)]
-        yield begin, end, words, [_places(w, known) for w in words]
+        words, sizes = split_words(column.slice(begin, end - begin))
+        places = pc.index_in(words, value_set=known.cast(words.type))
+        yield end, words, sizes, pc.fill_null(places, -1).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def _train(batches: Iterator[pa.RecordBatch], net: Network, known: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
+def _listed(words: list[bytes]) -> pa.Array:
+    return pa.array(words, pa.binary()).cast(pa.string())
+
+
+def _train(batches: Iterator[pa.RecordBatch], net: Network, known: pa.Array) -> Iterator[pa.RecordBatch]:
     squares = {k: np.full_like(v, 1e-8) for k, v in net.w.items()}
     total, waiting, size = 0, [], 0
     for batch in batches:
-        for _, _, _, places in _gathered(batch, known):
-            for p in places:
-                waiting.append(_ids(p, len(known)).astype(np.int32))
-                size += waiting[-1].size
+        for _, _, sizes, places in _gathered(batch, known):
+            for ids in _ids(places, sizes, len(known)):
+                waiting.append(ids)
+                size += ids.size
                 if len(waiting) == RUN_DOCS or size >= RUN_WORDS:
                     train_on(net, waiting, squares)
                     total, waiting, size = total + size, [], 0
@@ -367,12 +429,13 @@ def _train(batches: Iterator[pa.RecordBatch], net: Network, known: dict[bytes, i
 
 def train(docs: DataFrame, net: Network, known: dict[bytes, int], rounds: int = ROUNDS) -> Network:
     """The network after ``rounds`` of training copies in all tasks and averaging them."""
+    words = _listed(sorted(known, key=known.get))
     deal = F.pmod(F.xxhash64("text", F.lit(SEED)), F.lit(5))
     for r in range(rounds):
         # The first round, which sets the average to start from, has a fifth of the documents.
         mine = docs.where(deal == 0 if r == 0 else deal > 0) if rounds > 1 else docs
         averaged = (
-            mine.select("text").mapInArrow(partial(_train, net=net, known=known), "at bigint, value double, weight double")
+            mine.select("text").mapInArrow(partial(_train, net=net, known=words), "at bigint, value double, weight double")
             .groupBy("at").agg((F.sum("value") / F.sum("weight")).alias("value"))
         )
         found = averaged.toPandas().sort_values("at")  # as many rows as the network has weights
@@ -387,7 +450,7 @@ def train(docs: DataFrame, net: Network, known: dict[bytes, int], rounds: int =
 
 
 def _score(
-    batches: Iterator[pa.RecordBatch], net: Network, known: dict[bytes, int], counts: np.ndarray,
+    batches: Iterator[pa.RecordBatch], net: Network, known: pa.Array, counts: np.ndarray,
     vocabulary: int, end_count: int, n: int, v: int, log_other: float,
 ) -> Iterator[pa.RecordBatch]:
     """Scores of what every task knows, and the words that only the join knows.
@@ -401,59 +464,65 @@ def _score(
     outside = np.where(np.arange(logs.size) < vocabulary, 0.0, logs - log_other)
     outside[-1] = 0.0
     end_log = math.log10(end_count + 1) - bottom
-    rare_kind = pa.struct([("word", pa.binary()), ("times", pa.int64())])
 
-    def scored(batch: pa.RecordBatch, first: int, rows: list[tuple], ids: list[np.ndarray]) -> pa.RecordBatch:
-        tokens, seen, base, other, rare = zip(*rows, strict=True)
-        counted = list(chain.from_iterable(r.items() for r in rare))
+    def counted(words: pa.Array, sizes: np.ndarray, places: np.ndarray) -> tuple:
+        """Per row: tokens, known ones, base, share of words outside; and a list of unknown words."""
+        row = np.repeat(np.arange(sizes.size), sizes)
+        per_row = partial(np.bincount, row, minlength=sizes.size)
+        spots = np.flatnonzero(places < 0)
+        rare = (
+            pa.table({"row": row[spots], "word": words.take(pa.array(spots)).cast(pa.binary())})
+            .group_by(["row", "word"], use_threads=False).aggregate([([], "count_all")]).sort_by("row").combine_chunks()
+        )
+        ends = np.cumsum(np.bincount(rare["row"].to_numpy(), minlength=sizes.size))
+        pairs = [rare[c].combine_chunks() if rare.num_rows else pa.array([], kind) for c, kind in (("word", pa.binary()), ("count_all", pa.int64()))]
         listed = pa.ListArray.from_arrays(
-            pa.array(np.cumsum([0, *map(len, rare)]), pa.int32()),
-            pa.StructArray.from_arrays(
-                [pa.array([w for w, _ in counted], pa.binary()), pa.array([n for _, n in counted], pa.int64())], fields=list(rare_kind)
-            ),
+            pa.array(np.append(0, ends), pa.int32()), pa.StructArray.from_arrays(pairs, ["word", "times"])
         )
-        here = batch.slice(first, len(rows))
+        known_here = sizes - np.bincount(row[spots], minlength=sizes.size) + (end_count > 0)
+        return sizes + 1, known_here, per_row(logs[places]) + end_log, per_row(outside[places]), listed
+
+    def scored(batch: pa.RecordBatch, first: int, parts: list[tuple], ids: list[np.ndarray]) -> pa.RecordBatch:
+        *columns, rare = zip(*parts, strict=True)
+        tokens, seen, base, other = map(np.concatenate, columns)
+        here = batch.slice(first, len(ids))
         return pa.RecordBatch.from_arrays(
             [
                 here.column("doc_id"), here.column("held_out"), pa.array(tokens, pa.int64()), pa.array(seen, pa.int64()),
-                pa.array(base, pa.float64()), pa.array(score_documents(net, ids) / math.log(10) + np.array(other), pa.float64()), listed,
+                pa.array(base, pa.float64()), pa.array(score_documents(net, ids) / math.log(10) + other, pa.float64()), pa.concat_arrays(rare),
             ],
             ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare"],
         )
 
     for batch in batches:
-        rows, ids, size, first = [], [], 0, 0
-        for _, end, texts, places in _gathered(batch, known):
-            for words, p in zip(texts, places, strict=True):
-                ids.append(_ids(p, vocabulary).astype(np.int32))
-                size += ids[-1].size
-                rows.append((
-                    len(words) + 1, int((p >= 0).sum()) + (end_count > 0), float(logs[p].sum()) + end_log, float(outside[p].sum()),
-                    Counter([words[i] for i in np.flatnonzero(p < 0)]),
-                ))
-            if len(rows) >= RUN_DOCS or size >= RUN_WORDS or end == batch.num_rows:
-                yield scored(batch, first, rows, ids)
-                rows, ids, size, first = [], [], 0, end
+        parts, ids, size, first = [], [], 0, 0
+        for end, words, sizes, places in _gathered(batch, known):
+            parts.append(counted(words, sizes, places))
+            ids += _ids(places, sizes, vocabulary)
+            size += places.size + sizes.size
+            if len(ids) >= SCORE_DOCS or size >= SCORE_WORDS or end == batch.num_rows:
+                yield scored(batch, first, parts, ids)
+                parts, ids, size, first = [], [], 0, end
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words and their counts, sent on whenever there are many different ones."""
-    counts: Counter = Counter()
+    waiting: list[pa.Table] = []
 
-    def sent() -> pa.RecordBatch:
-        words = pa.array(list(counts), pa.binary()).cast(pa.string())
-        return pa.RecordBatch.from_arrays([words, pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+    def merged() -> pa.Table:
+        return pa.concat_tables(waiting).group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns({"n_sum": "n"})
 
     for batch in batches:
-        column = batch.column("text").cast(pa.binary())
+        column = batch.column("text")
         for begin, end in runs_of_bytes(column, RUN_BYTES):
-            for x in column.slice(begin, end - begin):
-                counts.update(split_words(x.as_py()))
-            if len(counts) >= COUNTED:
-                yield sent()
-                counts.clear()
-    if counts:
-        yield sent()
+            found = split_words(column.slice(begin, end - begin))[0].value_counts()
+            waiting.append(pa.table({"word": found.field("values").cast(pa.string()), "n": found.field("counts")}))
+            if sum(t.num_rows for t in waiting) >= 2 * COUNTED:
+                waiting = [merged()]
+                if waiting[0].num_rows >= COUNTED:
+                    yield from waiting.pop().to_batches()
+    if waiting:
+        yield from merged().to_batches()
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -502,7 +571,7 @@ def score(docs: DataFrame, held_out: Column | None = None, vocabulary: int | Non
     first = settle(
         marked.mapInArrow(
             partial(
-                _score, net=net, known={w: i for i, w in enumerate(words)}, counts=sizes,
+                _score, net=net, known=_listed(words), counts=sizes,
                 vocabulary=len(chosen), end_count=end, n=n, v=v, log_other=log_other,
             ),
             "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, rare array<struct<word:binary,times:bigint>>",
