@@ -93,6 +93,29 @@ def test_suffix_dedup(spark, docs, edges, most_classes):
         assert got == dict(zip([r[0] for r in rows], brute.removed([r[1] for r in rows], window), strict=True))
 
 
+def test_a_passage_in_many_texts_is_no_one_tasks_work(spark):
+    """Its anchor is met in a different piece of every text, and in equal pieces of all of them."""
+    chance = random.Random(12)
+    other = lambda: "".join(chance.choices("abcdefghijklmnopqrstuvwxyz ", k=chance.randrange(300, 500)))
+    texts = [f"{other()}{PASSAGE}{PASSAGE}{other()}" for _ in range(200)] + [PASSAGE] * 40
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(8)
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        shared = suffix_dedup._shared_pieces(suffix_dedup._identified(frame), 400)
+        placed = shared.where("mixed").select("h", F.input_file_name().alias("file"))
+        hot = placed.groupBy("h").agg(F.count("file").alias("n"), F.count_distinct("file").alias("tasks"))
+        hot = hot.where("n >= 200").collect()
+    finally:
+        spark.conf.set(name, before)
+    assert hot and all(r["tasks"] == int(spark.conf.get("spark.sql.shuffle.partitions")) for r in hot)
+    assert shared.where("mixed and more is not null").count() == 0
+    for most_classes in (2000, 100):
+        got = by_id(suffix_dedup.removal_report(frame, 400, most_classes), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+        assert got == dict(enumerate(brute.removed(texts, 400)))
+
+
 # --- 2 ---------------------------------------------------------------------------------
 
 
